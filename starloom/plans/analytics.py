@@ -1,0 +1,271 @@
+"""The five business queries.  Each takes warehouse tables and returns a DataFrame.
+
+Windows run over aggregated rows whose number is bounded (months of the years asked
+for, or the rows of a top-k), never over the fact.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from starloom.functions.columns import exact_mean, money_sum, rounded
+from starloom.sources.scratch import settle
+
+CANCELED = "canceled"
+DELIVERED = "delivered"
+UNDEFINED_PAYMENT = "not_defined"
+
+
+def year_month(year: str, month: str) -> Column:
+    return F.concat(
+        F.col(year).cast("string"), F.lit("-"), F.lpad(F.col(month).cast("string"), 2, "0")
+    )
+
+
+def _months(fact: DataFrame, first_year: int, last_year: int) -> DataFrame:
+    return (
+        fact.where(
+            (F.col("order_status") != CANCELED)
+            & F.col("order_year").between(first_year, last_year)
+        )
+        .groupBy("order_year", "order_month")
+        .agg(
+            F.count_distinct("order_id").alias("total_orders"),
+            money_sum(F.col("item_revenue")).alias("revenue"),
+            rounded(exact_mean(F.col("avg_review_score")), 2).alias("avg_rating"),
+        )
+    )
+
+
+def _month_trend(months: DataFrame) -> DataFrame:
+    # At most twelve rows for each year asked for reach this window.
+    before = F.lag("revenue", 1).over(Window.orderBy("order_year", "order_month"))
+    now, prev = F.col("revenue"), F.col("previous")
+    growth = (now - prev).cast("double") / F.nullif(prev.cast("double"), F.lit(0.0)) * 100
+    return (
+        months.withColumn("previous", before)
+        .select(
+            "order_year",
+            "order_month",
+            year_month("order_year", "order_month").alias("year_month"),
+            "total_orders",
+            rounded(now, 2).alias("monthly_revenue"),
+            "avg_rating",
+            rounded(now - prev, 2).alias("revenue_mom_change"),
+            rounded(growth, 2).alias("revenue_mom_pct"),
+        )
+        .orderBy("order_year", "order_month")
+    )
+
+
+def monthly_revenue(fact: DataFrame, first_year: int = 2016, last_year: int = 2018) -> DataFrame:
+    """Orders, revenue and rating by month, with the change from the month before.
+
+    "Before" is the previous month that has orders, as LAG sees it.
+    """
+    return _month_trend(_months(fact, first_year, last_year))
+
+
+def monthly_revenue_without_gaps(
+    fact: DataFrame, first_year: int = 2016, last_year: int = 2018
+) -> DataFrame:
+    """As ``monthly_revenue``, with a zero row for every month without orders.
+
+    The calendar runs from the first to the last month with orders, so the change is
+    always against the previous calendar month.
+    """
+    number = F.col("order_year") * 12 + F.col("order_month") - 1
+    months = _months(fact, first_year, last_year).withColumn("number", number)
+    calendar = fact.sparkSession.range(first_year * 12, (last_year + 1) * 12).select(
+        F.col("id").cast("int").alias("number")
+    )
+    # At most twelve rows for each year asked for reach this window.
+    every = Window.partitionBy()
+    seen = F.when(F.col("total_orders").isNotNull(), F.col("number"))
+    filled = (
+        calendar.join(months.drop("order_year", "order_month"), "number", "left")
+        .withColumns({"first": F.min(seen).over(every), "last": F.max(seen).over(every)})
+        .where(F.col("number").between(F.col("first"), F.col("last")))
+        .withColumns(
+            {
+                "order_year": F.floor(F.col("number") / 12).cast("int"),
+                "order_month": (F.col("number") % 12 + 1).cast("int"),
+                "total_orders": F.coalesce("total_orders", F.lit(0).cast("bigint")),
+                "revenue": F.coalesce("revenue", F.lit(0).cast("decimal(28,4)")),
+            }
+        )
+    )
+    return _month_trend(filled)
+
+
+def category_revenue(fact: DataFrame, products: DataFrame, top: int = 20) -> DataFrame:
+    """The categories with the most revenue; equal revenue shares a rank.
+
+    Ranks within the first rows of a descending sort are the ranks overall, so the
+    top-k is taken first and the window sees ``top`` rows only.
+    """
+    by_category = (
+        fact.where(F.col("order_status") != CANCELED)
+        .join(
+            products.select(
+                "product_id", F.col("product_category_name_en").alias("category")
+            ),
+            "product_id",
+        )
+        .where(F.col("category").isNotNull())
+        .groupBy("category")
+        .agg(
+            F.count_distinct("order_id").alias("total_orders"),
+            F.count("order_item_id").alias("total_items_sold"),
+            money_sum(F.col("item_revenue")).alias("revenue"),
+            rounded(exact_mean(F.col("price")), 2).alias("avg_price"),
+            rounded(exact_mean(F.col("avg_review_score")), 2).alias("avg_rating"),
+        )
+    )
+    best = [F.desc_nulls_last("revenue"), F.asc("category")]
+    return (
+        by_category.orderBy(*best)
+        .limit(top)
+        .select(
+            "category",
+            "total_orders",
+            "total_items_sold",
+            rounded(F.col("revenue"), 2).alias("total_revenue"),
+            "avg_price",
+            "avg_rating",
+            F.rank().over(Window.orderBy(best[0])).alias("revenue_rank"),
+            F.row_number().over(Window.orderBy(*best)).alias("row_num"),
+        )
+        .orderBy("row_num")
+    )
+
+
+def seller_performance(
+    fact: DataFrame, sellers: DataFrame, min_orders: int = 10, top: int = 30
+) -> DataFrame:
+    """The sellers with the most revenue from delivered orders, ranked in their state.
+
+    Sellers below ``min_orders`` orders do not count, for the rank either.  The rank
+    is one more than the number of sellers of the state that come first, counted
+    against the ``top`` sellers only: no state's sellers are gathered and sorted.
+    """
+    orders = F.count_distinct("order_id")
+    ranked = (
+        fact.where(F.col("order_status") == DELIVERED)
+        .join(sellers.select("seller_id", "seller_state", "seller_city"), "seller_id", "left")
+        .groupBy("seller_id", "seller_state", "seller_city")
+        .agg(
+            orders.alias("total_orders"),
+            rounded(money_sum(F.col("item_revenue")), 2).alias("total_revenue"),
+            rounded(exact_mean(F.col("avg_review_score")), 2).alias("avg_rating"),
+            rounded(exact_mean(F.col("delivery_duration_days")), 1).alias("avg_delivery_days"),
+        )
+        .where(F.col("total_orders") >= min_orders)
+    )
+    ranked = settle(ranked)
+    by_revenue = [F.desc_nulls_last("total_revenue"), "seller_id", "seller_state", "seller_city"]
+    best = (
+        ranked.orderBy(*by_revenue)
+        .limit(top)
+        .withColumn("position", F.row_number().over(Window.orderBy(*by_revenue)))
+    )
+    mine = F.struct(-F.col("m.total_orders"), F.col("m.seller_id"), F.col("m.seller_city"))
+    other = F.struct(-F.col("o.total_orders"), F.col("o.seller_id"), F.col("o.seller_city"))
+    ahead = (
+        ranked.alias("o")
+        .join(
+            F.broadcast(best).alias("m"),
+            F.col("o.seller_state").eqNullSafe(F.col("m.seller_state")) & (other < mine),
+        )
+        .groupBy("position")
+        .agg(F.count(F.lit(1)).alias("ahead"))
+    )
+    return (
+        best.join(F.broadcast(ahead), "position", "left")
+        .withColumn("state_rank", (F.coalesce("ahead", F.lit(0)) + 1).cast("int"))
+        .orderBy("position")
+        .drop("position", "ahead")
+    )
+
+
+def _delivered_with_state(fact: DataFrame, sellers: DataFrame) -> DataFrame:
+    return fact.where(
+        F.col("is_delivered") & F.col("delivery_duration_days").isNotNull()
+    ).join(sellers.select("seller_id", "seller_state"), "seller_id", "left")
+
+
+def delivery_by_state(fact: DataFrame, sellers: DataFrame) -> DataFrame:
+    """Delivery days, delay, rating and lateness by seller state, slowest first.
+
+    ``late_pct`` divides late items by distinct orders, so it can exceed 100; see
+    ``late_orders_by_state`` for the share of late orders.
+    """
+    late = F.col("delivery_delay_days") > 0
+    orders = F.count_distinct("order_id")
+    return (
+        _delivered_with_state(fact, sellers)
+        .groupBy("seller_state")
+        .agg(
+            orders.alias("total_orders"),
+            rounded(exact_mean(F.col("delivery_duration_days")), 1).alias("avg_delivery_days"),
+            rounded(exact_mean(F.col("delivery_delay_days")), 1).alias("avg_delay_days"),
+            rounded(exact_mean(F.col("avg_review_score")), 2).alias("avg_review_score"),
+            F.count_if(late).alias("late_deliveries"),
+            rounded(F.count_if(late) / orders * 100, 1).alias("late_pct"),
+        )
+        .orderBy(F.desc_nulls_last("avg_delay_days"), "seller_state")
+    )
+
+
+def late_orders_by_state(fact: DataFrame, sellers: DataFrame) -> DataFrame:
+    """Share of delivered orders with at least one late item, by seller state."""
+    orders = (
+        _delivered_with_state(fact, sellers)
+        .groupBy("seller_state", "order_id")
+        .agg(F.max(F.col("delivery_delay_days") > 0).alias("late"))
+    )
+    late = F.count_if("late")
+    return orders.groupBy("seller_state").agg(
+        F.count(F.lit(1)).alias("total_orders"),
+        late.alias("late_orders"),
+        F.round(late / F.count(F.lit(1)) * 100, 1).alias("late_order_pct"),
+    )
+
+
+def payment_analysis(payments: DataFrame) -> DataFrame:
+    """Orders and values by payment type and number of instalments.
+
+    ``avg_order_value`` and ``avg_payment`` are both the mean payment row.
+    """
+    value = F.col("payment_value")
+    return (
+        payments.where(F.col("payment_type") != UNDEFINED_PAYMENT)
+        .groupBy("payment_type", "payment_installments")
+        .agg(
+            F.count_distinct("order_id").alias("order_count"),
+            rounded(exact_mean(value), 2).alias("avg_order_value"),
+            rounded(money_sum(value), 2).alias("total_value"),
+            rounded(exact_mean(value), 2).alias("avg_payment"),
+        )
+        .orderBy("payment_type", "payment_installments")
+    )
+
+
+def revenue_by_month_and_payment(fact: DataFrame, year: int = 2017) -> DataFrame:
+    """Revenue of one year by month and primary payment type."""
+    return (
+        fact.where(F.col("order_year") == year)
+        .groupBy("order_month", "primary_payment_type")
+        .agg(money_sum(F.col("item_revenue")).cast("double").alias("monthly_revenue"))
+    )
+
+
+def with_seller(fact: DataFrame, sellers: DataFrame) -> DataFrame:
+    """Add the seller's columns to every fact row.
+
+    Spark broadcasts the sellers while their files are below
+    ``spark.sql.autoBroadcastJoinThreshold``; beyond that it shuffles both sides and
+    splits hot sellers adaptively.
+    """
+    return fact.join(sellers, "seller_id", "left")

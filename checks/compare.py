@@ -22,6 +22,7 @@ def session(cpus: str = "8") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("starloom-checks")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .getOrCreate()

@@ -10,14 +10,14 @@ from starloom.plans import analytics
 from starloom.plans.quality import audit
 from starloom.plans.star import Star
 from starloom.sources.raw import COLUMN_TYPES, RawFiles
-from starloom.sources.scratch import scratch_path
+from starloom.sources.scratch import stage
 from starloom.sources.warehouse import TABLES, VIEW_TABLES, Warehouse
 
 # Raw tables that cleaning passes over several times.
 STAGED = ("order_items", "payments", "products")
 
 
-def load_raw(raw: RawFiles, stage: bool = True) -> dict[str, DataFrame]:
+def load_raw(raw: RawFiles, columnar: bool = True) -> dict[str, DataFrame]:
     """Read all raw tables; the translation may be missing.
 
     Tables that are read in several passes are first turned into Parquet, so that the
@@ -28,11 +28,7 @@ def load_raw(raw: RawFiles, stage: bool = True) -> dict[str, DataFrame]:
         df = raw.read_optional(name) if name == "category_translation" else raw.read(name)
         if df is None:
             continue
-        if stage and name in STAGED:
-            path = scratch_path(raw.spark, name)
-            df.write.parquet(path)
-            df = raw.spark.read.parquet(path)
-        tables[name] = df
+        tables[name] = stage(df, name) if columnar and name in STAGED else df
     return tables
 
 

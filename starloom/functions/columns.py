@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # run (or one cluster size) to the next.
 MONEY = "decimal(18,4)"
 MEASURE = "decimal(24,10)"
+COORDINATE = "decimal(20,16)"
 
 # Label, first hour, last hour (both inclusive).  Any other hour,
 # and a missing hour, is "Night".
@@ -86,5 +87,10 @@ def exact_mean(value: Column) -> Column:
     return F.avg(value.cast(MEASURE))
 
 
+def mean_coordinate(name: str) -> Column:
+    """Mean latitude or longitude, from sixteen decimal places."""
+    return F.avg(F.col(name).cast(COORDINATE)).cast("double")
+
+
 def rounded(value: Column, digits: int) -> Column:
     return F.round(value, digits).cast("double")

@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import lookup_join, small_copy
-from starloom.operators.quantiles import discrete_quantile
+from starloom.operators.joins import lookup_join
+from starloom.operators.quantiles import group_quantile
 
 
 def mark_missing(df: DataFrame, columns: Sequence[str], flag: str) -> DataFrame:
@@ -18,34 +18,12 @@ def mark_missing(df: DataFrame, columns: Sequence[str], flag: str) -> DataFrame:
     return df.withColumn(flag, missing)
 
 
-def group_medians(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
-    """The lower median of every column per group, one row per group."""
-    doubles = df.select(by, *[F.col(c).cast("double").alias(c) for c in columns]).where(
-        F.col(by).isNotNull()
-    )
-    if small_copy(doubles.select(by).distinct()) is not None:
-        long = doubles.unpivot([by], list(columns), "metric", "value")
-        medians = discrete_quantile(long, "value", 0.5, [by, "metric"], few_groups=True)
-    else:
-        medians = reduce(
-            DataFrame.unionByName,
-            [
-                discrete_quantile(
-                    doubles.select(by, F.col(c).alias("value")),
-                    "value",
-                    0.5,
-                    [by],
-                    few_groups=False,
-                ).withColumn("metric", F.lit(c))
-                for c in columns
-            ],
-        )
-    return medians.groupBy(by).agg(
-        *[F.max(F.when(F.col("metric") == c, F.col("value"))).alias(c) for c in columns]
-    )
+def group_median(df: DataFrame, column: str, by: str) -> DataFrame:
+    """The lower median of a column per group, for the groups that have a value."""
+    return group_quantile(df, column, 0.5, by)
 
 
-def group_modes(df: DataFrame, column: str, by: str) -> DataFrame:
+def group_mode(df: DataFrame, column: str, by: str) -> DataFrame:
     """The most frequent value per group; the smaller value wins a tie."""
     counts = (
         df.where(F.col(by).isNotNull() & F.col(column).isNotNull())
@@ -57,24 +35,22 @@ def group_modes(df: DataFrame, column: str, by: str) -> DataFrame:
     )
 
 
-def fill_from_group(df: DataFrame, lookup: DataFrame, by: str) -> DataFrame:
-    """Fill NULLs from a table with one row per group and the columns to fill."""
-    columns = [c for c in lookup.columns if c != by]
-    named = lookup.select(by, *[F.col(c).alias(f"_fill_{c}") for c in columns])
-    return (
-        lookup_join(df, named, by)
-        .withColumns({c: F.coalesce(F.col(c), F.col(f"_fill_{c}")) for c in columns})
-        .drop(*[f"_fill_{c}" for c in columns])
-    )
+def fill_from_group(df: DataFrame, lookup: DataFrame, column: str, by: str) -> DataFrame:
+    """Fill NULLs of a column from a table with one value per group."""
+    named = lookup.select(by, F.col(column).alias("_fill"))
+    filled = F.coalesce(F.col(column), F.col("_fill"))
+    return lookup_join(df, named, by).withColumn(column, filled).drop("_fill")
 
 
 def fill_group_median(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Fill NULLs with the group's median; a group without values stays NULL."""
-    return fill_from_group(df, group_medians(df, columns, by), by)
+    return reduce(
+        lambda out, c: fill_from_group(out, group_median(df, c, by), c, by), columns, df
+    )
 
 
 def fill_group_mode(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Fill NULLs with the group's most frequent value."""
     return reduce(
-        lambda out, c: fill_from_group(out, group_modes(df, c, by), by), columns, df
+        lambda out, c: fill_from_group(out, group_mode(df, c, by), c, by), columns, df
     )

@@ -17,13 +17,13 @@ the true value.  A value repeated by a third of all rows is one bucket entry.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import hot_keys, left_join_chain
+from starloom.operators.joins import LOOKUP_ROWS, hot_keys, left_join_chain, small_copy
 
 STEPS_PER_OCTAVE = 256
 SLICES = 1 << 20
@@ -46,10 +46,10 @@ def _slice(x: Column, low: Column, high: Column) -> Column:
     return F.when(high > low, position).otherwise(F.lit(0).cast("bigint"))
 
 
-def _choose(counts: DataFrame, by: Sequence[str], bucket: str) -> DataFrame:
+def _choose(counts: DataFrame, by: str, bucket: str) -> DataFrame:
     """The bucket that holds the value of the wanted rank, and the rank within it."""
     running = (
-        Window.partitionBy(*by)
+        Window.partitionBy(by)
         .orderBy(bucket)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -57,48 +57,87 @@ def _choose(counts: DataFrame, by: Sequence[str], bucket: str) -> DataFrame:
     return (
         counts.withColumn("upto", F.sum("rows").over(running))
         .where((F.col("upto") >= F.col("rank")) & (before < F.col("rank")))
-        .select(*by, "low", "high", (F.col("rank") - before).alias("rank"))
+        .select(by, "low", "high", (F.col("rank") - before).alias("rank"))
     )
 
 
-def discrete_quantile(
-    df: DataFrame, value: str, share: float, by: Sequence[str], few_groups: bool
+def _tally(*more: Column) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.min("x").alias("low"),
+        F.max("x").alias("high"),
+        *more,
+    ]
+
+
+def _numbers(df: DataFrame, value: str, by: str) -> DataFrame:
+    """The group and number of every row that has both; NaN is no number."""
+    x = F.col(value).cast("double")
+    return df.select(by, x.alias("x")).where(
+        F.col(by).isNotNull() & F.col("x").isNotNull() & ~F.isnan("x")
+    )
+
+
+def _first_pass(numbers: DataFrame, share: float, by: str) -> DataFrame:
+    counts = numbers.groupBy(by, _log_bucket(F.col("x")).alias("bucket")).agg(*_tally())
+    total = F.sum("rows").over(Window.partitionBy(by))
+    rank = F.ceil(F.lit(Decimal(str(share))) * total).cast("bigint")
+    return _choose(counts.withColumn("rank", rank), by, "bucket")
+
+
+def _other_passes(
+    chosen: DataFrame, by: str, rows_inside: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
+    """Second and third pass; ``rows_inside`` joins the numbers to the chosen buckets."""
+    rank = F.max("rank").alias("rank")
+    position = _slice(F.col("x"), F.col("low"), F.col("high")).alias("bucket")
+    slices = rows_inside(chosen).groupBy(by, position).agg(*_tally(rank))
+    chosen = _choose(slices, by, "bucket")
+    values = rows_inside(chosen).groupBy(by, F.col("x").alias("bucket")).agg(*_tally(rank))
+    return _choose(values, by, "bucket")
+
+
+_INSIDE = "x BETWEEN low AND high"
+
+
+def quantile_of_few(df: DataFrame, value: str, share: float, by: str) -> DataFrame:
     """The least value with at least ``share`` of its group's values at or below it.
 
-    NULL and NaN are no values.  Returns the columns ``by`` and ``value``, without groups
-    that have no value; rows whose group is NULL belong to no group.  ``few_groups`` states that the number of
-    groups was checked to be small, which allows broadcasting one row per group; without
-    it ``by`` must be a single column, joined by shuffle with hot groups kept in place.
+    For a handful of groups, known beforehand: one row per group is broadcast and the
+    plan stays lazy.  Returns ``by`` and ``value``; NULL and NaN are no values, groups
+    without a value are left out, and rows whose group is NULL belong to no group.
     """
-    by = list(by)
-    x = F.col("x")
-    number = F.col(value).cast("double")
-    rows = df.select(*by, number.alias("x")).where(x.isNotNull() & ~F.isnan(x))
-    tally = (
-        F.count(F.lit(1)).alias("rows"),
-        F.min(x).alias("low"),
-        F.max(x).alias("high"),
-    )
-    hot = None if few_groups else hot_keys(rows, by[0])
+    numbers = _numbers(df, value, by)
 
-    def inside(chosen: DataFrame) -> DataFrame:
-        if few_groups:
-            joined = rows.join(F.broadcast(chosen), by)
-        else:
-            joined = left_join_chain(rows, [chosen], by[0], hot)
-        return joined.where(x.between(F.col("low"), F.col("high")))
+    def rows_inside(chosen: DataFrame) -> DataFrame:
+        return numbers.join(F.broadcast(chosen), by).where(_INSIDE)
 
-    total = F.sum("rows").over(Window.partitionBy(*by))
-    wanted = F.ceil(F.lit(Decimal(str(share))) * total).cast("bigint")
-    rank = F.max("rank").alias("rank")
+    found = _other_passes(_first_pass(numbers, share, by), by, rows_inside)
+    return found.select(by, F.col("low").alias(value))
 
-    coarse = rows.groupBy(*by, _log_bucket(x).alias("bucket")).agg(*tally)
-    chosen = _choose(coarse.withColumn("rank", wanted), by, "bucket")
 
-    position = _slice(x, F.col("low"), F.col("high")).alias("bucket")
-    fine = inside(chosen).groupBy(*by, position).agg(*tally, rank)
-    chosen = _choose(fine, by, "bucket")
+def group_quantile(
+    df: DataFrame, value: str, share: float, by: str, max_groups: int = LOOKUP_ROWS
+) -> DataFrame:
+    """As ``quantile_of_few``, for any number of groups.
 
-    values = inside(chosen).groupBy(*by, x.alias("bucket")).agg(*tally, rank)
-    return _choose(values, by, "bucket").select(*by, F.col("low").alias(value))
+    The first pass is run at once.  If it finds up to ``max_groups`` groups, their
+    buckets are broadcast to the next passes, which are left out when every bucket
+    turned out to hold a single value, as with small whole numbers.  Beyond that the
+    buckets are joined by shuffle, and rows of hot groups stay in place.
+    """
+    numbers = _numbers(df, value, by)
+    first = _first_pass(numbers, share, by)
+    few = small_copy(first, max_groups)
+    if few is None:
+        hot = hot_keys(numbers, by)
+        found = _other_passes(
+            first, by, lambda chosen: left_join_chain(numbers, [chosen], by, hot).where(_INSIDE)
+        )
+    elif few.where("low < high").isEmpty():
+        found = few
+    else:
+        found = _other_passes(
+            few, by, lambda chosen: numbers.join(F.broadcast(chosen), by).where(_INSIDE)
+        )
+    return found.select(by, F.col("low").alias(value))

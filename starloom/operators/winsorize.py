@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.quantiles import discrete_quantile
+from starloom.operators.quantiles import quantile_of_few
 
 
 def upper_caps(df: DataFrame, columns: Sequence[str], share: float) -> DataFrame:
@@ -15,7 +15,7 @@ def upper_caps(df: DataFrame, columns: Sequence[str], share: float) -> DataFrame
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "metric", "value"
     )
-    caps = discrete_quantile(long, "value", share, ["metric"], few_groups=True)
+    caps = quantile_of_few(long, "value", share, "metric")
     return caps.agg(
         *[F.max(F.when(F.col("metric") == c, F.col("value"))).alias(c) for c in columns]
     )

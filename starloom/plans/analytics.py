@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import exact_mean, money_sum, rounded
-from starloom.sources.scratch import settle
+from starloom.sources.scratch import stage
 
 CANCELED = "canceled"
 DELIVERED = "delivered"
@@ -163,7 +163,7 @@ def seller_performance(
         )
         .where(F.col("total_orders") >= min_orders)
     )
-    ranked = settle(ranked)
+    ranked = stage(ranked, "sellers_ranked")
     by_revenue = [F.desc_nulls_last("total_revenue"), "seller_id", "seller_state", "seller_city"]
     best = (
         ranked.orderBy(*by_revenue)

@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 
 from starloom.functions import columns as c
 from starloom.operators.dedup import dedup_by_key
-from starloom.operators.impute import fill_group_median, fill_group_mode, mark_missing
+from starloom.operators.impute import (
+    fill_from_group,
+    fill_group_median,
+    fill_group_mode,
+    group_median,
+    mark_missing,
+)
 from starloom.operators.winsorize import keep_raw, winsorize
+from starloom.sources.scratch import stage
 
 ORDER_TIMES = (
     "order_purchase_timestamp",
@@ -85,7 +92,11 @@ def repair_prices_from_category(items: DataFrame, products: DataFrame) -> DataFr
     """Give items without a valid price the median price of their category."""
     category = "product_category_name_en"
     labelled = items.join(products.select("product_id", category), "product_id", "left")
-    return with_total_cost(fill_group_median(labelled, ["price"], category).drop(category))
+    # The medians take several passes; they should not repeat the join.
+    prices = stage(labelled.select(category, "price"), "category_prices")
+    median = group_median(prices, "price", category)
+    filled = fill_from_group(labelled, median, "price", category)
+    return with_total_cost(filled.drop(category))
 
 
 def normalise_place(raw: DataFrame, entity: str) -> DataFrame:
@@ -175,5 +186,5 @@ def clean_geolocation(raw: DataFrame) -> DataFrame:
         [prefix + n for n in ("state", "city")],
     )
     return distinct.groupBy(*[prefix + n for n in ("zip_code_prefix", "state", "city")]).agg(
-        *[F.avg(prefix + n).alias(prefix + n) for n in ("lat", "lng")]
+        *[c.mean_coordinate(prefix + n).alias(prefix + n) for n in ("lat", "lng")]
     )

@@ -1,4 +1,4 @@
-"""Intermediate results that outlive the executors that computed them."""
+"""Intermediate tables that outlive the executors that computed them."""
 
 from __future__ import annotations
 
@@ -8,19 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a local one only if unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="starloom-")
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/starloom-{uuid.uuid4().hex}/{name}"
+    """A new path below the shared folder named by ``spark.checkpoint.dir``.
+
+    Only where that is unset, as in tests, is it a local temporary folder.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="starloom-")
+    return f"{root}/starloom-{uuid.uuid4().hex}/{name}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, reliably, for use in more than one place of a plan."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_root(df.sparkSession))
-    return df.checkpoint()
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet and read it back, for plans that use it repeatedly."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

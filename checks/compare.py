@@ -81,7 +81,7 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
             table = query(spark, sf_dir).toArrow()
             took = time.time() - started
             problem = (
-                difference(table, connection.execute(ORACLES[name]).to_arrow_table())
+                difference(table, connection.sql(ORACLES[name]).to_arrow_table())
                 if name in ORACLES
                 else "no oracle"
             )

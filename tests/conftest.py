@@ -43,6 +43,6 @@ def unordered(df):
     return sorted(rows(df), key=repr)
 
 
-def plan(df, mode="formatted"):
+def plan(df):
     """The physical plan as text."""
     return df._jdf.queryExecution().executedPlan().toString()

@@ -85,7 +85,7 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
         SELECT order_id,
                CAST(sum(CAST(payment_value AS DECIMAL(18,4))) AS DOUBLE) AS total_payment_value,
                CAST(sum(payment_installments) AS BIGINT) AS total_installments,
-               list_sort(list(DISTINCT payment_type)) AS payment_types,
+               array_to_string(list_sort(list(DISTINCT payment_type)), ',') AS payment_types,
                arg_min(payment_type, (-payment_value, payment_type)) AS primary_payment_type
         FROM payments GROUP BY order_id""",
         ("payments",),
@@ -561,6 +561,18 @@ ORACLES: dict[str, str] = {
         "fact",
     ),
     "null_audit": _audit(),
+    "row_count_check": "\nUNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS raw_rows, count(*) AS row_count, "
+        f"'PASS' AS status FROM {source}"
+        for name, source in (
+            ("fact_orders", "lineitem"),
+            ("dim_customers", "customer"),
+            ("dim_products", "part"),
+            ("dim_sellers", "supplier"),
+            ("dim_payments", "lineitem"),
+            ("dim_reviews", "events"),
+        )
+    ),
     "orders_without_items": """
         SELECT o_orderkey AS order_id, * EXCLUDE (o_orderkey) FROM orders
         WHERE NOT EXISTS (FROM lineitem WHERE l_orderkey = o_orderkey)""",

@@ -224,7 +224,12 @@ QUERIES: dict[str, Query] = {
     "reviews_clean": _raw("reviews", cleaning.clean_reviews),
     "dedup_by_key": geo_dedup,
     "dim_geolocation": _star("dim_geolocation"),
-    "payments_per_order": _stored(payments_per_order, "dim_payments"),
+    "payments_per_order": _stored(
+        lambda payments: payments_per_order(payments).withColumn(
+            "payment_types", F.array_join("payment_types", ",")
+        ),
+        "dim_payments",
+    ),
     "reviews_per_order": _stored(reviews_per_order, "dim_reviews"),
     "reviews_per_order_latest": _stored(
         lambda reviews: reviews_per_order(reviews, "latest"), "dim_reviews"
@@ -238,6 +243,12 @@ QUERIES: dict[str, Query] = {
     "null_audit": lambda spark, sf_dir: quality.audit(
         {name: table(spark, sf_dir, name) for name in TABLES}
     ),
+    "row_count_check": lambda spark, sf_dir: quality.compare_row_counts(
+        {
+            name: (RawTables(spark, sf_dir)[raw], table(spark, sf_dir, name))
+            for name, raw in quality.ROW_SOURCES.items()
+        }
+    ),
     "orders_without_items": lambda spark, sf_dir: quality.orders_without_items(
         source(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "order_id"),
         RawTables(spark, sf_dir)["order_items"],

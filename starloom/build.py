@@ -6,8 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.plans import analytics
-from starloom.plans.quality import audit
+from starloom.plans import analytics, quality
 from starloom.plans.star import Star
 from starloom.sources.raw import COLUMN_TYPES, RawFiles
 from starloom.sources.scratch import stage
@@ -32,18 +31,30 @@ def load_raw(raw: RawFiles, columnar: bool = True) -> dict[str, DataFrame]:
     return tables
 
 
-def build_warehouse(raw: Mapping[str, DataFrame], warehouse: Warehouse) -> DataFrame:
-    """Write all tables and return their audit (failures are reported, not hidden)."""
+def build_warehouse(raw: Mapping[str, DataFrame], warehouse: Warehouse) -> None:
+    """Write all tables of the star schema."""
     star = Star(raw)
     for table in TABLES:
-        if table == "fact_orders":
-            # The payments and reviews written first serve the fact as well.
-            continue
-        warehouse.write(table, getattr(star, table))
+        if table != "fact_orders":
+            warehouse.write(table, getattr(star, table))
+    # The fact takes payments and reviews from the tables just written.
     star.dim_payments = warehouse.read("dim_payments")
     star.dim_reviews = warehouse.read("dim_reviews")
     warehouse.write("fact_orders", star.fact_orders)
-    return audit({table: warehouse.read(table) for table in TABLES})
+
+
+def check_warehouse(
+    raw: Mapping[str, DataFrame], warehouse: Warehouse
+) -> tuple[DataFrame, DataFrame]:
+    """Two reports: NULL keys of every table, and row counts against the raw tables."""
+    keys = quality.audit({table: warehouse.read(table) for table in TABLES})
+    counts = quality.compare_row_counts(
+        {
+            table: (raw[source], warehouse.read(table))
+            for table, source in quality.ROW_SOURCES.items()
+        }
+    )
+    return keys, counts
 
 
 Query = Callable[[Warehouse], DataFrame]
@@ -82,10 +93,15 @@ def to_client(df: DataFrame, max_rows: int = 100_000):
 
 
 def main(raw_root: str, warehouse_root: str, names: Mapping[str, str] | None = None) -> None:
+    """Build, check and query.  A failed check ends the run before any query."""
     spark = SparkSession.builder.appName("starloom").getOrCreate()
-    warehouse = Warehouse(spark, warehouse_root)
-    report = build_warehouse(load_raw(RawFiles(spark, raw_root, names)), warehouse)
-    report.show(truncate=False)
+    raw, warehouse = load_raw(RawFiles(spark, raw_root, names)), Warehouse(spark, warehouse_root)
+    build_warehouse(raw, warehouse)
+    reports = check_warehouse(raw, warehouse)
+    for report in reports:
+        report.show(truncate=False)
+    quality.require_all_pass(*reports)
     warehouse.register_views(VIEW_TABLES)
+    analytics.revenue_by_month_and_payment(warehouse.read("fact_orders")).explain("formatted")
     for name, df in run_queries(warehouse).items():
         print(f"--- {name}\n{preview(df)}")

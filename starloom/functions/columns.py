@@ -27,6 +27,11 @@ def timestamp(name: str) -> Column:
     return F.col(name).try_cast("timestamp_ntz")
 
 
+def number(name: str) -> Column:
+    """Read a double from any column type; text that is no number gives NULL."""
+    return F.col(name).try_cast("double")
+
+
 def whole_number(name: str) -> Column:
     """Read an integer from any column type; text that is no number gives NULL."""
     return F.col(name).try_cast("double").try_cast("int")

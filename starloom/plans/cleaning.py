@@ -59,13 +59,14 @@ def repair_order_items(raw: DataFrame) -> DataFrame:
 
     ``raw_price`` and ``raw_freight_value`` keep the values as they were read.
     """
-    price, freight = F.col("price").cast("double"), F.col("freight_value").cast("double")
-    return keep_raw(raw, ["price", "freight_value"]).withColumns(
+    amounts = ["price", "freight_value"]
+    read = raw.withColumns({a: c.number(a) for a in amounts})
+    return keep_raw(read, amounts).withColumns(
         {
             "shipping_limit_date": c.timestamp("shipping_limit_date"),
             "price_flag": F.when(F.col("price") <= 0, "invalid").otherwise("ok"),
-            "price": c.null_if_not_positive(price),
-            "freight_value": c.at_least(freight, 0.0),
+            "price": c.null_if_not_positive(F.col("price")),
+            "freight_value": c.at_least(F.col("freight_value"), 0.0),
         }
     )
 
@@ -140,7 +141,7 @@ def clean_products(
         }
     )
     labelled = translate_category(named, translation).withColumns(
-        {g: F.col(g).cast("double") for g in gaps}
+        {g: c.number(g) for g in gaps}
     )
     flagged = mark_missing(labelled, ["product_category_name", *gaps], "is_imputed")
     if photos == "mode":
@@ -154,10 +155,13 @@ def clean_products(
 
 def clean_payments(raw: DataFrame, cap_share: float = 0.99) -> DataFrame:
     """Winsorize the value (``raw_payment_value`` keeps it), normalise the type."""
-    kept = keep_raw(raw, ["payment_value"]).withColumn(
-        "payment_type", c.lower_trimmed("payment_type")
+    read = raw.withColumns(
+        {
+            "payment_value": c.number("payment_value"),
+            "payment_type": c.lower_trimmed("payment_type"),
+        }
     )
-    return winsorize(kept, ["payment_value"], cap_share)
+    return winsorize(keep_raw(read, ["payment_value"]), ["payment_value"], cap_share)
 
 
 def clean_reviews(raw: DataFrame) -> DataFrame:

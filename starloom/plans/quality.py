@@ -8,6 +8,16 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The raw table whose rows a warehouse table must all hold.
+ROW_SOURCES: dict[str, str] = {
+    "fact_orders": "order_items",
+    "dim_customers": "customers",
+    "dim_products": "products",
+    "dim_sellers": "sellers",
+    "dim_payments": "payments",
+    "dim_reviews": "reviews",
+}
+
 # The columns of each table that must not be NULL.
 KEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "fact_orders": ("order_id", "product_id", "seller_id", "customer_id"),
@@ -66,6 +76,42 @@ def require(
         raise QualityError(f"{name}: {found['row_count']} rows, expected {expected_rows}")
 
 
+def compare_row_counts(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Raw and stored rows of tables that must keep every row, and PASS or FAIL."""
+
+    def count(name: str, df: DataFrame, into: str) -> DataFrame:
+        counted = df.agg(F.count(F.lit(1)).alias("n"))
+        return counted.select(
+            F.lit(name).alias("table_name"),
+            *[
+                (F.col("n") if column == into else F.lit(0).cast("bigint")).alias(column)
+                for column in ("raw_rows", "row_count")
+            ],
+        )
+
+    counts = [
+        count(name, df, into)
+        for name, pair in pairs.items()
+        for df, into in zip(pair, ("raw_rows", "row_count"))
+    ]
+    return (
+        reduce(DataFrame.unionByName, counts)
+        .groupBy("table_name")
+        .agg(F.sum("raw_rows").alias("raw_rows"), F.sum("row_count").alias("row_count"))
+        .withColumn(
+            "status", F.when(F.col("raw_rows") == F.col("row_count"), "PASS").otherwise("FAIL")
+        )
+    )
+
+
+def require_all_pass(*reports: DataFrame) -> None:
+    """Raise if a report has a row that did not pass."""
+    failed = [r["table_name"] for report in reports for r in report.collect() if r["status"] != "PASS"]
+    if failed:
+        raise QualityError(f"failed checks: {', '.join(failed)}")
+
+
 def orders_without_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders that the fact does not show because they have no item."""
-    return orders.join(items.select("order_id"), "order_id", "left_anti")
+    # distinct() collapses an order's items before the shuffle, however many they are.
+    return orders.join(items.select("order_id").distinct(), "order_id", "left_anti")

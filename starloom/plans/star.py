@@ -68,7 +68,7 @@ def reviews_per_order(reviews: DataFrame, score: str = "mean") -> DataFrame:
     ``score="latest"`` takes the score of the review answered last instead of the mean.
     """
     if score == "latest":
-        last = F.struct("review_answer_timestamp", "review_id")
+        last = F.struct("review_answer_timestamp", "review_id", "review_score")
         value = F.max_by("review_score", last).cast("double")
     else:
         value = F.avg("review_score")

@@ -113,3 +113,11 @@ def test_orders(spark):
 def test_keep_raw(spark):
     df = keep_raw(spark.createDataFrame([(1.0,)], "v double"), ["v"])
     assert rows(df) == [(1.0, 1.0)]
+
+
+def test_amounts_that_are_no_numbers_become_null(spark):
+    raw = spark.createDataFrame([("12.5", "x"), ("free", "-1")], "price string, freight_value string")
+    fixed = cleaning.repair_order_items(raw.withColumn("shipping_limit_date", F.lit("?")))
+    assert rows(fixed.select("price", "freight_value", "raw_price", "shipping_limit_date")) == [
+        (12.5, None, 12.5, None), (None, 0.0, None, None),
+    ]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from checks.standin import RawTables
 from starloom import build
-from starloom.plans import analytics
+from starloom.plans import analytics, quality
 from starloom.plans.cleaning import clean_geolocation, clean_products
 from starloom.plans.star import FACT_COLUMNS, HotKeys, Star, date_dimension, fact_orders
 from starloom.sources.raw import RawFiles, write_csv
@@ -136,7 +136,13 @@ def test_from_csv_to_queries(spark, star, stored_fact, tmp_path):
     raw = build.load_raw(RawFiles(spark, f"{tmp_path}/raw", names))
     assert "category_translation" not in raw
     warehouse = Warehouse(spark, f"{tmp_path}/warehouse")
-    report = {r["table_name"]: r for r in build.build_warehouse(raw, warehouse).collect()}
+    build.build_warehouse(raw, warehouse)
+    keys, counts = build.check_warehouse(raw, warehouse)
+    assert {r["status"] for r in counts.collect()} == {"PASS"}
+    quality.require_all_pass(counts)
+    with pytest.raises(quality.QualityError, match="dim_date"):
+        quality.require_all_pass(counts, keys)
+    report = {r["table_name"]: r for r in keys.collect()}
     assert set(report) == set(TABLES)
     assert report["fact_orders"]["row_count"] == stored_fact.count()
     assert report["dim_sellers"]["status"] == "PASS" and report["dim_date"]["status"] == "FAIL"

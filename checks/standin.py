@@ -72,8 +72,9 @@ PRODUCTS = """
 
 CATEGORY_TRANSLATION = """
     SELECT concat('brand#', cast(n_nationkey AS string)) AS product_category_name,
-           concat('goods of ', lower(n_name)) AS product_category_name_english
-    FROM {nation} WHERE n_nationkey % 2 = 1"""
+           CASE WHEN n_nationkey % 2 = 1 THEN concat('goods of ', lower(n_name))
+           END AS product_category_name_english
+    FROM {nation}"""
 
 PAYMENTS = """
     SELECT l_orderkey AS order_id,

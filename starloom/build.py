@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.plans import analytics, quality
+from starloom.plans import business, quality
 from starloom.plans.star import Star
 from starloom.sources.raw import COLUMN_TYPES, RawFiles
 from starloom.sources.scratch import stage
@@ -61,17 +61,17 @@ Query = Callable[[Warehouse], DataFrame]
 
 # The named query set.  Nothing is caught: a query that fails, fails.
 QUERIES: dict[str, Query] = {
-    "monthly_revenue": lambda w: analytics.monthly_revenue(w.read("fact_orders")),
-    "category_revenue": lambda w: analytics.category_revenue(
+    "monthly_revenue": lambda w: business.monthly_revenue(w.read("fact_orders")),
+    "category_revenue": lambda w: business.category_revenue(
         w.read("fact_orders"), w.read("dim_products")
     ),
-    "seller_performance": lambda w: analytics.seller_performance(
+    "seller_performance": lambda w: business.seller_performance(
         w.read("fact_orders"), w.read("dim_sellers")
     ),
-    "delivery_by_state": lambda w: analytics.delivery_by_state(
+    "delivery_by_state": lambda w: business.delivery_by_state(
         w.read("fact_orders"), w.read("dim_sellers")
     ),
-    "payment_analysis": lambda w: analytics.payment_analysis(w.read("dim_payments")),
+    "payment_analysis": lambda w: business.payment_analysis(w.read("dim_payments")),
 }
 
 
@@ -102,6 +102,6 @@ def main(raw_root: str, warehouse_root: str, names: Mapping[str, str] | None = N
         report.show(truncate=False)
     quality.require_all_pass(*reports)
     warehouse.register_views(VIEW_TABLES)
-    analytics.revenue_by_month_and_payment(warehouse.read("fact_orders")).explain("formatted")
+    business.revenue_by_month_and_payment(warehouse.read("fact_orders")).explain("formatted")
     for name, df in run_queries(warehouse).items():
         print(f"--- {name}\n{preview(df)}")

@@ -75,6 +75,20 @@ def hot_keys(
     return HotKeys([row["key"] for row in counted.select("key").collect()], nulls)
 
 
+def small_copy(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame | None:
+    """``df`` as literal rows if it has at most ``max_rows``, otherwise None."""
+    table = df.limit(max_rows + 1).toArrow()
+    if table.num_rows > max_rows:
+        return None
+    return df.sparkSession.createDataFrame(table, df.schema)
+
+
+def _join_small(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join with a right side that should be small: broadcast if it is."""
+    small = small_copy(right)
+    return left.join(right if small is None else F.broadcast(small), key, "left")
+
+
 def left_join_chain(
     left: DataFrame,
     rights: Sequence[DataFrame],
@@ -84,7 +98,8 @@ def left_join_chain(
     """Left-join several tables that are unique in ``key`` onto ``left``.
 
     Each input is shuffled once on the key.  Rows of hot keys, and rows without a
-    key, are not shuffled at all.
+    key, are not shuffled: the hot keys' rows of the other tables are counted and
+    broadcast.
     """
     hot = hot_keys(left, key) if hot is None else hot
     if not hot:
@@ -95,23 +110,13 @@ def left_join_chain(
         lambda df, right: df.join(right, key, "left"), rights, left.where(~is_hot)
     )
     in_place = reduce(
-        lambda df, right: df.join(
-            F.broadcast(right.where(F.col(key).isin(hot.values))), key, "left"
-        ),
+        lambda df, right: _join_small(df, right.where(F.col(key).isin(hot.values)), key),
         rights,
         left.where(is_hot),
     )
     return shuffled.unionByName(in_place)
 
 
-def small_copy(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame | None:
-    """``df`` as literal rows if it has at most ``max_rows``, otherwise None."""
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(table, df.schema)
-
-
 def lookup_join(
     left: DataFrame, lookup: DataFrame, key: str, max_rows: int = LOOKUP_ROWS
 ) -> DataFrame:

@@ -6,7 +6,7 @@ here narrows down to the exact value in three passes over the needed columns, ea
 a hash aggregate with map-side combining followed by a running total over bucket
 counts:
 
-1. buckets of equal width in log2: 256 per power of two;
+1. buckets of equal width in log2: 256 per power of two, a million for all doubles;
 2. 2^20 equal slices between the least and greatest value of the chosen bucket;
 3. the distinct values of the chosen slice, which spans less than 3e-9 of its value.
 
@@ -46,18 +46,18 @@ def _slice(x: Column, low: Column, high: Column) -> Column:
     return F.when(high > low, position).otherwise(F.lit(0).cast("bigint"))
 
 
-def _choose(counts: DataFrame, by: str, bucket: str) -> DataFrame:
-    """The bucket that holds the value of the wanted rank, and the rank within it."""
+def _choose(counts: DataFrame) -> DataFrame:
+    """Per group, the bucket with the value of the wanted rank, and the rank within it."""
     running = (
-        Window.partitionBy(by)
-        .orderBy(bucket)
+        Window.partitionBy("g")
+        .orderBy("bucket")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     before = F.col("upto") - F.col("rows")
     return (
         counts.withColumn("upto", F.sum("rows").over(running))
         .where((F.col("upto") >= F.col("rank")) & (before < F.col("rank")))
-        .select(by, "low", "high", (F.col("rank") - before).alias("rank"))
+        .select("g", "low", "high", (F.col("rank") - before).alias("rank"))
     )
 
 
@@ -71,33 +71,27 @@ def _tally(*more: Column) -> list[Column]:
 
 
 def _numbers(df: DataFrame, value: str, by: str) -> DataFrame:
-    """The group and number of every row that has both; NaN is no number."""
-    x = F.col(value).cast("double")
-    return df.select(by, x.alias("x")).where(
-        F.col(by).isNotNull() & F.col("x").isNotNull() & ~F.isnan("x")
+    """Group and number of every row that has both; NaN is no number."""
+    return df.select(F.col(by).alias("g"), F.col(value).cast("double").alias("x")).where(
+        F.col("g").isNotNull() & F.col("x").isNotNull() & ~F.isnan("x")
     )
 
 
-def _first_pass(numbers: DataFrame, share: float, by: str) -> DataFrame:
-    counts = numbers.groupBy(by, _log_bucket(F.col("x")).alias("bucket")).agg(*_tally())
-    total = F.sum("rows").over(Window.partitionBy(by))
+def _first_pass(numbers: DataFrame, share: float) -> DataFrame:
+    counts = numbers.groupBy("g", _log_bucket(F.col("x")).alias("bucket")).agg(*_tally())
+    total = F.sum("rows").over(Window.partitionBy("g"))
     rank = F.ceil(F.lit(Decimal(str(share))) * total).cast("bigint")
-    return _choose(counts.withColumn("rank", rank), by, "bucket")
+    return _choose(counts.withColumn("rank", rank))
 
 
-def _other_passes(
-    chosen: DataFrame, by: str, rows_inside: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """Second and third pass; ``rows_inside`` joins the numbers to the chosen buckets."""
+def _other_passes(chosen: DataFrame, join: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Second and third pass; ``join`` brings the chosen buckets to the numbers."""
     rank = F.max("rank").alias("rank")
     position = _slice(F.col("x"), F.col("low"), F.col("high")).alias("bucket")
-    slices = rows_inside(chosen).groupBy(by, position).agg(*_tally(rank))
-    chosen = _choose(slices, by, "bucket")
-    values = rows_inside(chosen).groupBy(by, F.col("x").alias("bucket")).agg(*_tally(rank))
-    return _choose(values, by, "bucket")
-
-
-_INSIDE = "x BETWEEN low AND high"
+    inside = "x BETWEEN low AND high"
+    slices = join(chosen).where(inside).groupBy("g", position).agg(*_tally(rank))
+    values = join(_choose(slices)).where(inside).groupBy("g", F.col("x").alias("bucket"))
+    return _choose(values.agg(*_tally(rank)))
 
 
 def quantile_of_few(df: DataFrame, value: str, share: float, by: str) -> DataFrame:
@@ -108,12 +102,10 @@ def quantile_of_few(df: DataFrame, value: str, share: float, by: str) -> DataFra
     without a value are left out, and rows whose group is NULL belong to no group.
     """
     numbers = _numbers(df, value, by)
-
-    def rows_inside(chosen: DataFrame) -> DataFrame:
-        return numbers.join(F.broadcast(chosen), by).where(_INSIDE)
-
-    found = _other_passes(_first_pass(numbers, share, by), by, rows_inside)
-    return found.select(by, F.col("low").alias(value))
+    found = _other_passes(
+        _first_pass(numbers, share), lambda chosen: numbers.join(F.broadcast(chosen), "g")
+    )
+    return found.select(F.col("g").alias(by), F.col("low").alias(value))
 
 
 def group_quantile(
@@ -127,17 +119,15 @@ def group_quantile(
     buckets are joined by shuffle, and rows of hot groups stay in place.
     """
     numbers = _numbers(df, value, by)
-    first = _first_pass(numbers, share, by)
+    first = _first_pass(numbers, share)
     few = small_copy(first, max_groups)
     if few is None:
-        hot = hot_keys(numbers, by)
+        hot = hot_keys(numbers, "g")
         found = _other_passes(
-            first, by, lambda chosen: left_join_chain(numbers, [chosen], by, hot).where(_INSIDE)
+            first, lambda chosen: left_join_chain(numbers, [chosen], "g", hot)
         )
     elif few.where("low < high").isEmpty():
         found = few
     else:
-        found = _other_passes(
-            few, by, lambda chosen: numbers.join(F.broadcast(chosen), by).where(_INSIDE)
-        )
-    return found.select(by, F.col("low").alias(value))
+        found = _other_passes(few, lambda chosen: numbers.join(F.broadcast(chosen), "g"))
+    return found.select(F.col("g").alias(by), F.col("low").alias(value))

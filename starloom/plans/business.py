@@ -1,8 +1,8 @@
 """The five business queries.  Each takes warehouse tables and returns a DataFrame.
 
 Money and ratings are summed as decimals; days are whole numbers, whose sums are exact
-as they are.  Windows run over aggregated rows whose number is bounded (months of the years asked
-for, or the rows of a top-k), never over the fact.
+as they are.  Windows run over aggregated rows whose number is bounded (months of the
+years asked for, or the rows of a top-k), never over the fact.
 """
 
 from __future__ import annotations

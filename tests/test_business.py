@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from starloom.plans import analytics, panels, quality, star
+from starloom.plans import business, panels, quality, star
 from tests.conftest import plan, rows, unordered
 
 FACT = (
@@ -39,18 +39,18 @@ def test_monthly_revenue_gap_zero_month_and_status(spark):
             dict(order_id=6, order_year=2019, item_revenue=99.0),
         ],
     )
-    assert rows(analytics.monthly_revenue(table)) == [
+    assert rows(business.monthly_revenue(table)) == [
         (2017, 1, "2017-01", 1, 15.0, 4.5, None, None),
         (2017, 2, "2017-02", 1, 0.0, None, -15.0, -100.0),
         (2017, 5, "2017-05", 1, 30.0, None, 30.0, None),
     ]
-    gapless = rows(analytics.monthly_revenue_without_gaps(table))
+    gapless = rows(business.monthly_revenue_without_gaps(table))
     assert [r[2:5] for r in gapless] == [
         ("2017-01", 1, 15.0), ("2017-02", 1, 0.0), ("2017-03", 0, 0.0), ("2017-04", 0, 0.0),
         ("2017-05", 1, 30.0),
     ]
     assert gapless[-1][6:] == (30.0, None)
-    months = analytics.monthly_revenue(table)
+    months = business.monthly_revenue(table)
     assert [r[2:] for r in rows(panels.month_changes(months))] == [
         (0.0, "up"), (-15.0, "down"), (30.0, "up"),
     ]
@@ -59,7 +59,7 @@ def test_monthly_revenue_gap_zero_month_and_status(spark):
 
 def test_money_is_summed_exactly(spark):
     table = fact(spark, [dict(order_id=i, item_revenue=0.1) for i in range(1000)])
-    assert rows(analytics.monthly_revenue(table))[0][4] == 100.0
+    assert rows(business.monthly_revenue(table))[0][4] == 100.0
 
 
 def test_categories_tied_in_revenue_share_a_rank(spark):
@@ -70,12 +70,12 @@ def test_categories_tied_in_revenue_share_a_rank(spark):
         spark,
         [dict(order_id=p, product_id=p, item_revenue=v) for p, v in ((1, 5.0), (2, 5.0), (3, 2.0), (4, 9.0), (9, 9.0))],
     )
-    got = analytics.category_revenue(table, products)
+    got = business.category_revenue(table, products)
     assert [(r[0], r[3], r[6], r[7]) for r in rows(got)] == [
         ("a", 5.0, 1, 1), ("b", 5.0, 1, 2), ("c", 2.0, 3, 3),
     ]
     assert [r[0] for r in rows(panels.top_categories(got, top=2))] == ["a", "b"]
-    assert rows(analytics.category_revenue(table, products, top=1))[0][0] == "a"
+    assert rows(business.category_revenue(table, products, top=1))[0][0] == "a"
 
 
 @pytest.fixture
@@ -94,7 +94,7 @@ def test_sellers_need_ten_orders_and_rank_within_their_state(spark, sellers):
         ]
     lines.append(dict(order_id=999, seller_id=2, order_status="shipped"))
     table = fact(spark, lines)
-    got = rows(analytics.seller_performance(table, sellers))
+    got = rows(business.seller_performance(table, sellers))
     assert [(r[0], r[1], r[3], r[4], r[7]) for r in got] == [
         (6, None, 10, 90.0, 3),
         (3, None, 11, 22.0, 1),
@@ -103,8 +103,8 @@ def test_sellers_need_ten_orders_and_rank_within_their_state(spark, sellers):
         (4, "SP", 12, 6.0, 1),
     ]
     # The rank counts sellers that are not among the listed ones.
-    assert [(r[0], r[7]) for r in rows(analytics.seller_performance(table, sellers, top=4))][-1] == (1, 2)
-    states = panels.top_states(analytics.seller_performance(table, sellers))
+    assert [(r[0], r[7]) for r in rows(business.seller_performance(table, sellers, top=4))][-1] == (1, 2)
+    states = panels.top_states(business.seller_performance(table, sellers))
     assert rows(states) == [("SP", 16.0 / 1e6, True)]
 
 
@@ -119,11 +119,11 @@ def test_late_items_of_one_order_count_twice(spark, sellers):
             dict(order_id=4, seller_id=3, is_delivered=False),
         ],
     )
-    got = rows(analytics.delivery_by_state(table, sellers))
+    got = rows(business.delivery_by_state(table, sellers))
     assert [(r[0], r[1], r[3], r[5], r[6]) for r in got] == [
         ("SP", 1, 3.0, 2, 200.0), (None, 1, None, 0, 0.0),
     ]
-    assert unordered(analytics.late_orders_by_state(table, sellers)) == sorted(
+    assert unordered(business.late_orders_by_state(table, sellers)) == sorted(
         [("SP", 1, 1, 100.0), (None, 1, 0, 0.0)], key=repr
     )
 
@@ -135,7 +135,7 @@ def test_payment_mix(spark):
          (5, "credit_card", 13, 1.0)],
         "order_id int, payment_type string, payment_installments int, payment_value double",
     )
-    mix = analytics.payment_analysis(payments)
+    mix = business.payment_analysis(payments)
     assert rows(mix) == [
         ("boleto", 1, 1, 4.0, 4.0, 4.0),
         ("credit_card", 1, 1, 7.51, 15.01, 7.51),
@@ -198,7 +198,7 @@ def test_audit(spark):
 
 def test_queries_never_window_over_the_fact(spark, sellers, no_broadcast):
     table = fact(spark, [dict(order_id=i) for i in range(3)])
-    text = plan(analytics.monthly_revenue(table))
+    text = plan(business.monthly_revenue(table))
     # Nothing reaches a single task before it was aggregated.
     assert "Exchange SinglePartition" not in text.split("HashAggregate")[-1]
     assert "CartesianProduct" not in text

@@ -24,7 +24,7 @@ def skewed(spark):
 def rights(spark):
     return [
         spark.range(0, 400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("a")),
-        spark.range(0, 500, 2).select(F.col("id").alias("k"), (F.col("id") * 3).alias("b")),
+        spark.range(0, 500, 7).select(F.col("id").alias("k"), (F.col("id") * 3).alias("b")),
     ]
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from checks.standin import RawTables
 from starloom import build
-from starloom.plans import analytics, quality
+from starloom.plans import business, quality
 from starloom.plans.cleaning import clean_geolocation, clean_products
 from starloom.plans.star import FACT_COLUMNS, HotKeys, Star, date_dimension, fact_orders
 from starloom.sources.raw import RawFiles, write_csv
@@ -14,6 +14,12 @@ from starloom.sources.warehouse import TABLES, VIEW_TABLES, Warehouse
 from tests.conftest import DATA, plan, rows, unordered
 
 
+REVIEW_HEADER = (
+    "review_id,order_id,review_score,review_comment_title,review_comment_message,"
+    "review_creation_date,review_answer_timestamp\n"
+)
+
+
 @pytest.fixture(scope="module")
 def star(spark):
     return Star(RawTables(spark, DATA))
@@ -108,7 +114,7 @@ def test_month_query_reads_one_year_of_the_warehouse(spark, stored_fact, tmp_pat
     warehouse = Warehouse(spark, str(tmp_path / "w"))
     warehouse.write("fact_orders", stored_fact)
     fact = warehouse.read("fact_orders")
-    for query in (analytics.revenue_by_month_and_payment(fact, 1997), analytics.monthly_revenue(fact, 1996, 1998)):
+    for query in (business.revenue_by_month_and_payment(fact, 1997), business.monthly_revenue(fact, 1996, 1998)):
         text = plan(query)
         assert "order_year#" in text.split("PartitionFilters: [")[1].split("]")[0]
         schema = text.split("ReadSchema: ")[1].split(">")[0]
@@ -118,10 +124,10 @@ def test_month_query_reads_one_year_of_the_warehouse(spark, stored_fact, tmp_pat
 def test_sellers_are_broadcast_only_while_small(spark, star, stored_fact, tmp_path):
     Warehouse(spark, str(tmp_path / "w")).write("dim_sellers", star.dim_sellers)
     sellers = Warehouse(spark, str(tmp_path / "w")).read("dim_sellers")
-    assert "BroadcastHashJoin" in plan(analytics.with_seller(stored_fact, sellers))
+    assert "BroadcastHashJoin" in plan(business.with_seller(stored_fact, sellers))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
     try:
-        assert "SortMergeJoin" in plan(analytics.with_seller(stored_fact, sellers))
+        assert "SortMergeJoin" in plan(business.with_seller(stored_fact, sellers))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -151,16 +157,53 @@ def test_from_csv_to_queries(spark, star, stored_fact, tmp_path):
     assert spark.sql("SELECT count(*) FROM fact_orders").first()[0] == stored_fact.count()
     results = build.run_queries(warehouse)
     assert list(results) == list(build.QUERIES)
-    direct = analytics.payment_analysis(star.dim_payments)
+    direct = business.payment_analysis(star.dim_payments)
     assert rows(results["payment_analysis"]) == rows(direct)
-    from_csv = analytics.monthly_revenue(warehouse.read("fact_orders"), 1996, 1998)
-    assert rows(from_csv) == rows(analytics.monthly_revenue(stored_fact, 1996, 1998))
+    from_csv = business.monthly_revenue(warehouse.read("fact_orders"), 1996, 1998)
+    assert rows(from_csv) == rows(business.monthly_revenue(stored_fact, 1996, 1998))
     assert "boleto" in build.preview(results["payment_analysis"])
     with pytest.raises(ValueError):
         build.to_client(results["payment_analysis"], max_rows=2)
     assert len(build.to_client(results["payment_analysis"])) == 21
 
 
+CSV = {
+    "orders": """order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,order_delivered_carrier_date,order_delivered_customer_date,order_estimated_delivery_date
+o1,c1,delivered,2017-01-05 10:00:00,2017-01-05 11:00:00,2017-01-06 10:00:00,2017-01-15 10:00:00,2017-01-10 00:00:00
+o2,c2,shipped,2017-02-05 20:00:00,2017-02-05 21:00:00,,,2017-02-20 00:00:00
+""",
+    "order_items": """order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value
+o1,1,p1,s1,2017-01-07 00:00:00,100.0,10.0
+o1,2,p2,s1,2017-01-07 00:00:00,50.0,5.0
+o2,1,p1,s1,2017-02-07 00:00:00,99.0,11.0
+""",
+    "customers": "customer_id,customer_zip_code_prefix,customer_city,customer_state\nc1,1234,a,sp\nc2,1235,b,rj\n",
+    "products": "product_id,product_category_name,product_name_lenght,product_description_lenght,product_photos_qty\np1,cama,5,10,1\np2,,,,\n",
+    "sellers": "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,99,c,mg\n",
+    "payments": "order_id,payment_sequential,payment_type,payment_installments,payment_value\no1,1,credit_card,3,165.0\no2,1,boleto,1,110.0\n",
+    "reviews": REVIEW_HEADER + 'r1,o1,5,,"good\nvery",2017-01-16,2017-01-17\n',
+    "geolocation": "geolocation_zip_code_prefix,geolocation_lat,geolocation_lng,geolocation_city,geolocation_state\n99,-1.5,2.5,c,MG\n",
+}
+
+
+def test_main(spark, tmp_path, capsys):
+    (tmp_path / "raw").mkdir()
+    for name, text in CSV.items():
+        (tmp_path / "raw" / f"my_{name}.csv").write_text(text)
+    names = {n: f"my_{n}.csv" for n in CSV}
+    build.main(str(tmp_path / "raw"), str(tmp_path / "w"), names)
+    out = capsys.readouterr().out
+    assert [line for line in out.splitlines() if line.startswith("---")] == [
+        f"--- {name}" for name in build.QUERIES
+    ]
+    assert "PartitionFilters" in out and "2017-02" in out
+    months = rows(business.monthly_revenue(Warehouse(spark, str(tmp_path / "w")).read("fact_orders")))
+    assert months == [
+        (2017, 1, "2017-01", 1, 165.0, 5.0, None, None),
+        (2017, 2, "2017-02", 1, 110.0, None, -55.0, -33.33),
+    ]
+
+
 def test_missing_tables_fail_loudly(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         Warehouse(spark, str(tmp_path)).register_views()

@@ -668,6 +668,17 @@ ORACLES: dict[str, str] = {
               GROUP BY seller_state ORDER BY total DESC, seller_state LIMIT 10)""",
         "q3",
     ),
+    "viz_state_top10_all": _with(
+        f"""
+        SELECT seller_state, total / 1e6 AS revenue_millions,
+               total = max(total) OVER () AS is_largest
+        FROM (SELECT seller_state, CAST({money('item_revenue')} AS DOUBLE) AS total
+              FROM fact JOIN sellers USING (seller_id)
+              WHERE order_status = 'delivered' AND seller_state IS NOT NULL
+              GROUP BY seller_state ORDER BY total DESC, seller_state LIMIT 10)""",
+        "fact",
+        "sellers",
+    ),
     "viz_sparkline": _with(
         """
         SELECT CAST(row_number() OVER (ORDER BY order_year, order_month) - 1 AS INTEGER)

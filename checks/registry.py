@@ -270,5 +270,6 @@ QUERIES: dict[str, Query] = {
     "viz_payment_share_orders": _stored(panels.payment_share_of_orders, "dim_payments"),
     "viz_installment_curve": _panel(panels.installment_curve, q5),
     "viz_state_top10": _panel(panels.top_states, q3),
+    "viz_state_top10_all": _stored(panels.top_states_of_all, "fact_orders", "dim_sellers"),
     "viz_sparkline": _panel(panels.sparkline, q1),
 }

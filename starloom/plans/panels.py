@@ -6,9 +6,11 @@ payment type and instalment count.  Windows run after a limit or over such rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.functions.columns import MONEY
+
 MILLION = 1e6
 CREDIT_CARD = "credit_card"
 
@@ -113,13 +115,26 @@ def installment_curve(mix: DataFrame, last: int = 12) -> DataFrame:
 def top_states(sellers: DataFrame, top: int = 10) -> DataFrame:
     """Revenue by state over the listed sellers, least first, the largest flagged.
 
-    Sellers without a state are left out.
+    Sellers without a state are left out.  See ``top_states_of_all`` for all sellers.
     """
-    revenue = F.sum(F.col("total_revenue").cast("decimal(28,2)")).cast("double")
+    return _top_states(sellers, F.col("total_revenue").cast("decimal(28,2)"), top)
+
+
+def top_states_of_all(
+    fact: DataFrame, sellers: DataFrame, top: int = 10, status: str = "delivered"
+) -> DataFrame:
+    """As ``top_states``, over the revenue of every seller."""
+    sold = fact.where(F.col("order_status") == status).join(
+        sellers.select("seller_id", "seller_state"), "seller_id"
+    )
+    return _top_states(sold, F.col("item_revenue").cast(MONEY), top)
+
+
+def _top_states(df: DataFrame, revenue: Column, top: int) -> DataFrame:
     best = (
-        sellers.where(F.col("seller_state").isNotNull())
+        df.where(F.col("seller_state").isNotNull())
         .groupBy("seller_state")
-        .agg(F.coalesce(revenue, F.lit(0.0)).alias("total_revenue"))
+        .agg(F.coalesce(F.sum(revenue).cast("double"), F.lit(0.0)).alias("total_revenue"))
         .orderBy(F.desc("total_revenue"), "seller_state")
         .limit(top)
     )

@@ -106,6 +106,7 @@ def test_sellers_need_ten_orders_and_rank_within_their_state(spark, sellers):
     assert [(r[0], r[7]) for r in rows(business.seller_performance(table, sellers, top=4))][-1] == (1, 2)
     states = panels.top_states(business.seller_performance(table, sellers))
     assert rows(states) == [("SP", 16.0 / 1e6, True)]
+    assert rows(panels.top_states_of_all(table, sellers)) == [("SP", 466.0 / 1e6, True)]
 
 
 def test_late_items_of_one_order_count_twice(spark, sellers):

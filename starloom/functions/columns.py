@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # run (or one cluster size) to the next.
 MONEY = "decimal(18,4)"
 MEASURE = "decimal(24,10)"
-COORDINATE = "decimal(20,16)"
+COORDINATE = "decimal(30,16)"
 
 # Label, first hour, last hour (both inclusive).  Any other hour,
 # and a missing hour, is "Night".

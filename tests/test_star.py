@@ -101,12 +101,14 @@ def test_dates(spark):
 def test_geolocation_drops_repeated_coordinates_before_averaging(spark):
     raw = spark.createDataFrame(
         [(1, -23.5, -46.0, "x", "SP")] * 50 + [(1, -24.5, -47.0, "x", "SP"), (1, -23.5, -46.0, "z", "SP"),
-                                               (2, 0.1, 0.2, None, None)],
+                                               (2, 0.1, 0.2, None, None),
+                                               (3, 123456.5, -46.0, "far", "off")],
         "geolocation_zip_code_prefix int, geolocation_lat double, geolocation_lng double, "
         "geolocation_city string, geolocation_state string",
     )
     assert unordered(clean_geolocation(raw)) == [
         (1, "SP", "x", -24.0, -46.5), (2, None, None, 0.1, 0.2),
+        (3, "off", "far", 123456.5, -46.0),
     ]
 
 

@@ -12,22 +12,19 @@ from starloom.sources.raw import COLUMN_TYPES, RawFiles
 from starloom.sources.scratch import stage
 from starloom.sources.warehouse import TABLES, VIEW_TABLES, Warehouse
 
-# Raw tables that cleaning passes over several times.
-STAGED = ("order_items", "payments", "products")
-
 
 def load_raw(raw: RawFiles, columnar: bool = True) -> dict[str, DataFrame]:
     """Read all raw tables; the translation may be missing.
 
-    Tables that are read in several passes are first turned into Parquet, so that the
-    text is parsed once and later passes read only the columns they need.
+    Most tables are read more than once, for caps, joins and checks.  They are first
+    turned into Parquet, so that the text is parsed once and later passes read only the
+    columns they need; ``columnar=False`` reads the text each time instead.
     """
     tables = {}
     for name in COLUMN_TYPES:
         df = raw.read_optional(name) if name == "category_translation" else raw.read(name)
-        if df is None:
-            continue
-        tables[name] = stage(df, name) if columnar and name in STAGED else df
+        if df is not None:
+            tables[name] = stage(df, name) if columnar else df
     return tables
 
 

@@ -2,24 +2,79 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_run = f"starloom-{uuid.uuid4().hex}"
+_local: dict[str, str] = {}
+_cleaned: set[tuple[str, str]] = set()
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests, is it a local temporary folder.
+def scratch_root(spark: SparkSession) -> str:
+    """The run's own folder below the shared folder named by ``spark.checkpoint.dir``.
+
+    Where that is unset, a local temporary folder serves a local master; any other
+    master raises, as executors would each write to a disk of their own.  The folder
+    is removed when the driver's Python ends, also after an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="starloom-")
-    return f"{root}/starloom-{uuid.uuid4().hex}/{name}"
+    if not shared:
+        if not spark.sparkContext.master.startswith("local") or (
+            spark.sparkContext.master.startswith("local-cluster")
+        ):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if "folder" not in _local:
+            _local["folder"] = tempfile.mkdtemp(prefix="starloom-")
+        shared = f"file://{_local['folder']}"
+    root = f"{shared.rstrip('/')}/{_run}"
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _cleaned:
+        _cleaned.add(key)
+        atexit.register(_remove_at_exit, spark, root)
+    return root
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the run's folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet and read it back, for plans that use it repeatedly."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is; nothing happens if it is gone."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _remove_at_exit(spark: SparkSession, root: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        remove(spark, root)
+
+
+class Workspace:
+    """Staged tables of one operator, removable one by one once they are used up."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.root = scratch_path(spark, name)
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            remove(self.spark, self.path(name))

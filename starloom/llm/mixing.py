@@ -174,6 +174,10 @@ def _quotas(sized: DataFrame, block: int) -> DataFrame:
     )
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _slots(quotas: DataFrame, shard_slots: int) -> DataFrame:
     """One row per output slot: shard, source, slot number and block index."""
     total = quotas.agg(F.sum("_slots")).first()[0] or 0
@@ -185,7 +189,7 @@ def _slots(quotas: DataFrame, shard_slots: int) -> DataFrame:
     first = F.col("_chunk") * _SLOT_CHUNK
     final = F.least(first + _SLOT_CHUNK, F.col("_slots")) - 1
     slots = (
-        chunks.repartition(F.xxhash64("source", "_chunk"))
+        chunks.repartition(shuffle_partitions(quotas), F.xxhash64("source", "_chunk"))
         .withColumn("slot", F.explode(F.sequence(first, final)))
         .withColumn("_key", F.xxhash64("source", F.lit(SEED), F.floor(F.col("slot") / F.col("_blocks"))))
     )
@@ -269,7 +273,8 @@ class Mix:
         same = (F.col("source").eqNullSafe(F.col("_source"))) & (
             F.col("block") == F.col("_block")
         )
-        joined = self.slots().join(segments.withColumnRenamed("block", "_block"), same)
+        # Slots unfold from a few rows, so their size is not known beforehand: never broadcast.
+        joined = self.slots().hint("merge").join(segments.withColumnRenamed("block", "_block"), same)
         words = F.least(
             F.col("words"),
             F.greatest(F.coalesce(F.col("_only"), F.lit(1 << 40)) - F.col("in_block"), F.lit(0)),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import html_text, mixing, packing, warc
+from starloom.llm import html_text, mixing, near_dup, packing, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shape = near_dup.Shape(words=2, percent=80)
+    return near_dup.NearDuplicates(table(spark, sf_dir, "documents"), shape=shape).membership()
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -35,5 +40,6 @@ QUERIES = {
     "op1_pack": op1_pack,
     "op5_mix": op5_mix,
     "op6_warc": op6_warc,
+    "op7_near_duplicates": op7_near_duplicates,
     "op9_html_text": op9_html_text,
 }

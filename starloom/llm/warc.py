@@ -15,6 +15,7 @@ import hashlib
 import json
 import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -204,6 +205,29 @@ MANIFEST = "archive string, records bigint, bytes bigint"
 INDEX = "archive string, at bigint, length bigint"
 
 
+def packed_payloads(pages: DataFrame, key: str, url: str, payload: str) -> DataFrame:
+    """Each row's payload deflated, with its length and digest."""
+    kind = pages.schema[key].dataType.simpleString()
+    given = pages.select(
+        F.col(f"`{key}`").alias("page"), F.col(f"`{url}`").alias("url"), F.col(f"`{payload}`").alias("payload")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            payloads = [(p.as_py() or "").encode() for p in batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1),
+                 pa.array([zlib.compress(p, 6) for p in payloads], pa.binary()),
+                 pa.array([len(p) for p in payloads], pa.int64()),
+                 pa.array([base32_sha1(p) for p in payloads], pa.string())],
+                ["page", "url", "packed", "bytes", "digest"],
+            )
+
+    return given.mapInArrow(
+        run, f"page {kind}, url string, packed binary, bytes bigint, digest string"
+    ).withColumn("row", F.monotonically_increasing_id())
+
+
 def with_revisits(pages: DataFrame, work: Workspace, key: str, url: str, payload: str, least: int):
     """Rows to be written: which payload was met first, and which rows repeat it.
 
@@ -211,27 +235,17 @@ def with_revisits(pages: DataFrame, work: Workspace, key: str, url: str, payload
     last; of repeated rows the first).  Both sides of the join are written tables, so a
     payload that a third of the rows share is split by adaptive execution.
     """
-    text = F.coalesce(F.col(f"`{payload}`"), F.lit(""))
-    rows = work.stage(
-        pages.select(
-            F.col(f"`{key}`").alias("page"),
-            F.col(f"`{url}`").alias("url"),
-            text.alias("payload"),
-            F.sha1(text.cast("binary")).alias("digest"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-        "rows",
-    )
+    rows = work.stage(packed_payloads(pages, key, url, payload), "rows")
     order = F.struct(F.col("page").isNull().alias("last"), "page", "row")
     first = (
-        rows.filter(F.octet_length("payload") >= least)
+        rows.filter(F.col("bytes") >= least)
         .groupBy(F.col("digest").alias("first_digest"))
         .agg(F.min(order).alias("first"))
     )
     first = work.stage(first, "first")
     revisits = F.col("first.row").isNotNull() & (F.col("first.row") != F.col("row"))
     return rows.join(first, F.col("digest") == F.col("first_digest"), "left").select(
-        "page", "url", "payload", "row",
+        "page", "url", "packed", "digest", "row",
         F.when(revisits, F.col("first.row")).alias("refers_row"),
         F.when(revisits, F.col("first.page")).alias("refers_page"),
     )
@@ -277,14 +291,13 @@ def write_archives(rows: DataFrame, root: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, writer, done = TaskContext.get().partitionId(), 0, None, []
         for batch in batches:
-            for row in zip(*(batch.column(c) for c in ("page", "url", "payload", "row", "refers_row", "refers_page"))):
-                page, url, payload, row_id, refers_row, refers_page = (v.as_py() for v in row)
+            for row in zip(*batch.columns):
+                page, url, packed, digest, row_id, refers_row, refers_page = (v.as_py() for v in row)
                 if writer is None:
                     writer = _ArchiveWriter(root, f"part-{part:06d}-{number:04d}.zip")
-                payload = payload.encode()
                 text = None if page is None else str(page)
                 record = record_bytes(
-                    f"<urn:x-row:{row_id}>", url, payload, base32_sha1(payload), text,
+                    f"<urn:x-row:{row_id}>", url, zlib.decompress(packed), digest, text,
                     None if refers_row is None else f"<urn:x-row:{refers_row}>",
                     None if refers_page is None else str(refers_page),
                 )
@@ -361,7 +374,8 @@ def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
         yield pa.RecordBatch.from_pylist(out, pa.schema(kinds))
 
     # A task reads neighbouring records of an archive in order.
-    near = index.repartition("archive", F.shiftright("at", 22)).sortWithinPartitions("archive", "at")
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = index.repartition(tasks, "archive", F.shiftright("at", 20)).sortWithinPartitions("archive", "at")
     return near.mapInArrow(run, schema)
 
 

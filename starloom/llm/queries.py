@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import html_text, mixing, near_dup, packing, warc
+from starloom.llm import html_text, mixing, near_dup, packing, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.NearDuplicates(table(spark, sf_dir, "documents"), shape=shape).membership()
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.RepeatedBytes(table(spark, sf_dir, "documents"), length=200).report()
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -41,5 +45,6 @@ QUERIES = {
     "op5_mix": op5_mix,
     "op6_warc": op6_warc,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_html_text": op9_html_text,
 }

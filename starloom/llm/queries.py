@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import html_text, mixing, near_dup, packing, suffix_dedup, warc
+from starloom.llm import (
+    html_text,
+    mixing,
+    near_dup,
+    packing,
+    quality_rules,
+    suffix_dedup,
+    warc,
+    weak_quality,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +28,16 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents, "doc_id", ["text"], encode, packing.Limits(1024, 256, 1024))
 
 
+def op4_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.WeakQuality(table(spark, sf_dir, "documents")).scored()
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality_rules.train(documents, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(documents, model)
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(table(spark, sf_dir, "documents")).taken()
 
@@ -42,9 +61,11 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pack": op1_pack,
+    "op4_weak_quality": op4_weak_quality,
     "op5_mix": op5_mix,
     "op6_warc": op6_warc,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_html_text": op9_html_text,
+    "op10_quality_rules": op10_quality_rules,
 }

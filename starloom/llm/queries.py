@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm import (
+    ann,
     html_text,
+    licenses,
     mixing,
     near_dup,
     packing,
@@ -28,6 +30,15 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents, "doc_id", ["text"], encode, packing.Limits(1024, 256, 1024))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return licenses.scan(documents, licenses.train(documents))
+
+
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), every=50, best=5)
+
+
 def op4_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_quality.WeakQuality(table(spark, sf_dir, "documents")).scored()
 
@@ -61,6 +72,8 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pack": op1_pack,
+    "op2_licenses": op2_licenses,
+    "op3_ann": op3_ann,
     "op4_weak_quality": op4_weak_quality,
     "op5_mix": op5_mix,
     "op6_warc": op6_warc,

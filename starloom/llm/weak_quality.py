@@ -22,7 +22,8 @@ from starloom.llm.signals import Signs, signs
 #: over all documents; a fifth of them is kept for calibration.
 SAMPLE_PER_CLASS = 4000
 HELD_OUT = 5
-THRESHOLD = 0.5
+#: Documents stay unless they are probably junk, with room for doubt.
+THRESHOLD = 0.3
 EM_ROUNDS = 100
 
 NOTHING, GOOD, JUNK = 0, 1, 2

@@ -29,8 +29,8 @@ class Index:
     smallest hashes of their ids; all vectors are in the lists."""
 
     sample: int = 8192
-    lists: int = 64
-    probes: int = 24
+    lists: int = 128
+    probes: int = 72
     block_dims: int = 16
     epsilon: float = 2.1
     list_rows: int = 4096

@@ -87,7 +87,7 @@ def fit(
     two classes, calibration restores their true shares.  Without both classes the model
     gives the share of ones.
     """
-    lengths = np.array([len(r) for r in rows])
+    lengths = np.array([len(r) for r in rows], dtype=np.int64)
     index = np.concatenate(rows) if rows else np.zeros(0, np.int64)
     values = np.repeat(1 / np.sqrt(np.maximum(lengths, LEAST_FEATURES)), lengths)
     owner = np.repeat(np.arange(len(rows)), lengths)

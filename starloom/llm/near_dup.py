@@ -25,7 +25,8 @@ from starloom.llm.components import components
 from starloom.sources.scratch import Workspace
 
 STARS = 2
-BLOCK_NODES = 512
+BLOCK_NODES = 256
+SMALL_KEY = 16
 KEYS_MOST = 128
 _LONGEST_RUN = 1 << 15
 
@@ -38,7 +39,7 @@ class Shape:
     percent: int = 80
     chunks: int = 10
     chunk_values: int = 6
-    screen: int = 36
+    screen: int = 30
 
     @property
     def values(self) -> int:
@@ -289,61 +290,94 @@ class NearDuplicates:
         best = met.groupBy("node").agg(F.max("hub").alias("hub"))
         return best.select((-F.col("hub.early")).alias("a"), F.col("node").alias("b"))
 
-    def _open_pairs(self, opened: DataFrame, name: str) -> DataFrame:
-        """All pairs of open keys across components, but those whose signatures are too far
-        apart; each pair once, from the first key it shares.
+    def _open_pairs(self, opened: DataFrame) -> DataFrame:
+        """All pairs across components in keys of at most SMALL_KEY nodes, but those whose
+        signatures are too far apart; each pair once, from the first key it shares."""
+        shape = self.shape
+        signed = self.nodes.select(F.col("node").alias("n"), "signature")
+        rows = opened.join(signed, F.col("node") == F.col("n")).select("key", "node", "component", "signature")
+        met = rows.repartition("key").sortWithinPartitions("key", "node")
 
-        A key's nodes are dealt into blocks, and a task compares two blocks at a time, so a
-        key with very many nodes is spread over many tasks and no task lists its pairs.
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out: list[np.ndarray] = []
+            for group in groups_of(batches, ("key",)):
+                nodes, parts = group["node"].to_numpy(), group["component"].to_numpy()
+                index = group["key"][0].as_py() % KEYS_MOST
+                marks = _marks(group, shape)
+                x, y = np.triu_indices(len(nodes), 1)
+                near = (parts[x] != parts[y]) & ((marks[x] != marks[y]).sum(axis=1) <= shape.screen)
+                x, y = x[near], y[near]
+                # The same pair met under an earlier key is left to that key.
+                own = first_shared(marks[x], marks[y], shape) == index
+                out.append(np.stack([nodes[x[own]], nodes[y[own]]], 1))
+                if len(out) == 1000:
+                    yield _pairs_batch(out)
+                    out = []
+            if out:
+                yield _pairs_batch(out)
+
+        return met.mapInArrow(run, "a bigint, b bigint")
+
+    def _hot_links(self, opened: DataFrame, name: str) -> DataFrame:
+        """Confirmed links between components among nodes that share large keys.
+
+        Nodes that large keys connect form a cluster, dealt into blocks of bounded size; a
+        task holds the texts of two blocks, confirms pairs on full sets as it goes, and
+        gives no more links than it takes to join what it joined: no list of pairs arises.
         """
-        shape = self.shape
-        counts = opened.groupBy(F.col("key").alias("of")).agg(
-            F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks")
+        shape, work = self.shape, self.work
+        first = work.stage(
+            opened.groupBy(F.col("key").alias("of")).agg(F.min("node").alias("b")), f"{name}-first"
         )
-        signed = self.nodes.select(F.col("node").alias("n"), "signature")
-        rows = (
-            opened.join(self.work.stage(counts, f"{name}-blocks"), F.col("key") == F.col("of"))
-            .join(signed, F.col("node") == F.col("n"))
-            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        star = opened.join(first, F.col("key") == F.col("of")).select(F.col("node").alias("a"), "b")
+        clusters = components(star, work, f"{name}-cluster").select(
+            F.col("node").alias("n"), F.col("component").alias("cluster")
         )
+        sizes = work.stage(
+            clusters.groupBy(F.col("cluster").alias("c")).agg(
+                F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks")
+            ),
+            f"{name}-blocks",
+        )
+        parts = opened.select(F.col("node").alias("p"), "component").distinct()
+        signed = self.nodes.select("node", "signature")
+        rows = work.stage(
+            clusters.join(sizes, F.col("cluster") == F.col("c"))
+            .join(parts, F.col("n") == F.col("p"))
+            .join(signed, F.col("n") == F.col("node"))
+            .select("cluster", "node", "component", "signature", "blocks",
+                    F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")),
+            f"{name}-rows",
+        )
         # Block i meets block j for all i <= j: a row goes to each meeting of its block.
-        meetings = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-            "key", "node", "component", "signature", "block",
-            F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
+        meetings = (
+            rows.join(self.texts.withColumnRenamed("node", "n"), F.col("node") == F.col("n"))
+            .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("cluster", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
+                    "node", "component", "signature", "block", "text")
         )
-        met = meetings.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-
-        def pairs(nodes, parts, marks, blocks, i, j):
-            outer = np.flatnonzero(blocks == i)
-            inner = np.flatnonzero(blocks == j)
-            for x in outer:
-                others = inner[inner > x] if i == j else inner
-                others = others[parts[others] != parts[x]]
-                if not len(others):
-                    continue
-                near = (marks[others] != marks[x]).sum(axis=1) <= shape.screen
-                others = others[near]
-                if len(others):
-                    yield x, others
+        met = meetings.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "node")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for group in groups_of(batches, ("key", "i", "j")):
-                nodes = group["node"].to_numpy()
-                parts = group["component"].to_numpy()
-                blocks = group["block"].to_numpy()
-                i, j, key = group["i"][0].as_py(), group["j"][0].as_py(), group["key"][0].as_py()
-                marks = np.frombuffer(
-                    b"".join(group["signature"].to_pylist()), "<u2"
-                ).reshape(len(nodes), shape.values)
-                for x, others in pairs(nodes, parts, marks, blocks, i, j):
-                    # The same pair met under an earlier key is left to that key.
-                    index = first_shared(np.repeat(marks[x : x + 1], len(others), 0), marks[others], shape)
-                    others = others[index == key % KEYS_MOST]
-                    lo = np.minimum(nodes[x], nodes[others])
-                    hi = np.maximum(nodes[x], nodes[others])
-                    yield pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], ["a", "b"])
+            for group in groups_of(batches, ("cluster", "i", "j")):
+                yield _pairs_batch([_joined(group, shape)])
 
-        return met.mapInArrow(run, "a bigint, b bigint")
+        return work.stage(met.mapInArrow(run, "a bigint, b bigint").distinct(), name)
+
+    def _open_links(self, opened: DataFrame) -> list[DataFrame]:
+        """Confirmed links for all pairs that open keys hold."""
+        sizes = self.work.stage(
+            opened.groupBy(F.col("key").alias("of")).agg(F.count("*").alias("n_open")), "open-sizes"
+        )
+        sized = self.work.stage(
+            opened.join(sizes, F.col("key") == F.col("of")).select("key", "node", "component", "n_open"),
+            "open-sized",
+        )
+        small = self._confirmed(self._open_pairs(sized.filter(F.col("n_open") <= SMALL_KEY)), "links-small")
+        large = sized.filter(F.col("n_open") > SMALL_KEY)
+        if large.isEmpty():
+            return [small]
+        return [small, self._hot_links(large, "links-hot")]
 
     def _search(self) -> DataFrame:
         labels, opened = None, self.shared
@@ -354,7 +388,7 @@ class NearDuplicates:
             labels = self._components(f"c{k}")
         opened = self._open_keys(labels, opened, "rest")
         if not opened.isEmpty():
-            self._links.append(self._confirmed(self._open_pairs(opened, "rest"), "links-rest"))
+            self._links += self._open_links(opened)
             labels = self._components("c-rest")
         return labels
 
@@ -425,6 +459,39 @@ class NearDuplicates:
         )
 
 
+def _marks(group: pa.Table, shape: Shape) -> np.ndarray:
+    return np.frombuffer(b"".join(group["signature"].to_pylist()), "<u2").reshape(-1, shape.values)
+
+
+def _pairs_batch(pairs: list[np.ndarray]) -> pa.RecordBatch:
+    both = np.concatenate(pairs).reshape(-1, 2).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+
+def _joined(group: pa.Table, shape: Shape) -> np.ndarray:
+    """Links that join the components of two blocks' nodes, confirmed on full sets."""
+    nodes, blocks = group["node"].to_numpy(), group["block"].to_numpy()
+    i, j = group["i"][0].as_py(), group["j"][0].as_py()
+    marks = _marks(group, shape)
+    column = group["text"].combine_chunks() if isinstance(group["text"], pa.ChunkedArray) else group["text"]
+    sets = list(shingle_sets(column, shape.words))
+    parts = np.unique(group["component"].to_numpy(), return_inverse=True)[1]
+    links = []
+    inner = np.flatnonzero(blocks == j)
+    for x in np.flatnonzero(blocks == i):
+        others = inner[(inner > x) | (i != j)]
+        others = others[parts[others] != parts[x]]
+        others = others[(marks[others] != marks[x]).sum(axis=1) <= shape.screen]
+        for y in others.tolist():
+            if parts[y] == parts[x]:
+                continue
+            both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if 100 * both >= shape.percent * (len(sets[x]) + len(sets[y]) - both):
+                links.append((nodes[x], nodes[y]))
+                parts[parts == parts[y]] = parts[x]
+    return np.array(links, dtype=np.int64).reshape(-1, 2)
+
+
 def groups_of(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[pa.Table]:
     """Tables of the rows with equal ``by``, from batches sorted by it."""
     held: list[pa.RecordBatch] = []

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 
 from starloom.llm import textops as t
 
+#: Feature numbers fit two bytes.
 BITS = 16
 WORD_GRAMS = 2
 BYTE_GRAM = 3
@@ -76,6 +77,31 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
+class _Parts:
+    """Sparse rows in parts of a few hundred, so that temporary arrays stay small."""
+
+    def __init__(self, rows: list[np.ndarray], part: int = 250):
+        self.lengths = np.array([len(r) for r in rows], dtype=np.int64)
+        self.values = 1 / np.sqrt(np.maximum(self.lengths, LEAST_FEATURES))
+        self.parts = [
+            (slice(at, at + part), np.concatenate(rows[at : at + part])) for at in range(0, len(rows), part)
+        ]
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self.lengths))
+        for rows, index in self.parts:
+            sums = np.concatenate(([0.0], np.cumsum(weights[index], dtype=np.float64)))
+            ends = np.cumsum(self.lengths[rows])
+            out[rows] = (sums[ends] - sums[ends - self.lengths[rows]]) * self.values[rows]
+        return out
+
+    def gradient(self, error: np.ndarray, size: int) -> np.ndarray:
+        out = np.zeros(size)
+        for rows, index in self.parts:
+            out += np.bincount(index, np.repeat((error * self.values)[rows], self.lengths[rows]), size)
+        return out
+
+
 def fit(
     rows: list[np.ndarray], labels: np.ndarray, importance: np.ndarray, size: int,
     held_out: np.ndarray, steps: int = 120, rate: float = 0.5, decay: float = 1e-4,
@@ -87,10 +113,6 @@ def fit(
     two classes, calibration restores their true shares.  Without both classes the model
     gives the share of ones.
     """
-    lengths = np.array([len(r) for r in rows], dtype=np.int64)
-    index = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    values = np.repeat(1 / np.sqrt(np.maximum(lengths, LEAST_FEATURES)), lengths)
-    owner = np.repeat(np.arange(len(rows)), lengths)
     share = float(np.average(labels, weights=importance)) if len(labels) else 0.5
     model = Linear(np.zeros(size), float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     if not len(labels) or labels.max() <= 0.5 or labels.min() > 0.5:
@@ -100,19 +122,17 @@ def fit(
     balance = np.where(train, labels / max(ones, 1e-9) + (1 - labels) / max(zeros, 1e-9), 0.0) / 2
     model.bias = 0.0
     squares, bias_square = np.full(size, 1e-8), 1e-8
-    used = train[owner]
-    index_t, values_t, owner_t = index[used], values[used], owner[used]
+    parts = _Parts(rows)
     for _ in range(steps):
-        scores = np.bincount(owner_t, model.weights[index_t] * values_t, len(rows)) + model.bias
-        error = balance * (sigmoid(scores) - labels)
-        slope = np.bincount(index_t, error[owner_t] * values_t, size) + decay * model.weights / size
+        error = balance * (sigmoid(parts.scores(model.weights) + model.bias) - labels)
+        slope = parts.gradient(error, size) + decay * model.weights / size
         squares += slope**2
         bias_square += error.sum() ** 2
         model.weights -= rate * slope / np.sqrt(squares)
         model.bias -= rate * error.sum() / np.sqrt(bias_square)
     model.weights = model.weights.astype(np.float32)
     check = held_out if held_out.any() else train
-    scores = np.bincount(owner, model.weights[index] * values, len(rows)) + model.bias
+    scores = parts.scores(model.weights) + model.bias
     model.slope, model.shift = calibrate(scores[check], labels[check], importance[check])
     return model
 
@@ -146,11 +166,11 @@ def sample_features(sample: DataFrame) -> tuple[list[np.ndarray], list]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [f.astype("<u4").tobytes() for f in text_features(batch.column(0))]
+            marks = [f.astype("<u2").tobytes() for f in text_features(batch.column(0))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(marks, pa.binary()), *batch.columns[1:]], ["features", *names]
             )
 
     found = sample.mapInArrow(run, f"features binary, {kinds}").collect()
     found.sort(key=lambda r: (tuple(map(str, r[1:])), r[0]))
-    return [np.frombuffer(r[0], "<u4").astype(np.int64) for r in found], [r[1:] for r in found]
+    return [np.frombuffer(r[0], "<u2") for r in found], [r[1:] for r in found]

@@ -20,7 +20,7 @@ from starloom.llm.signals import Signs, signs
 
 #: The scorer is fitted on about so many documents of either posterior class, picked by hash
 #: over all documents; a fifth of them is kept for calibration.
-SAMPLE_PER_CLASS = 4000
+SAMPLE_PER_CLASS = 2500
 HELD_OUT = 5
 #: Documents stay unless they are probably junk, with room for doubt.
 THRESHOLD = 0.3

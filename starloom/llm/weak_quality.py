@@ -76,7 +76,7 @@ def estimate(counts: dict[int, int], rounds: int = EM_ROUNDS) -> tuple[dict[int,
     """
     numbers = np.array(sorted(counts), dtype=np.int64)
     weight = np.array([counts[n] for n in numbers.tolist()], dtype=float)
-    vote = np.array([unpattern(n) for n in numbers.tolist()]).reshape(-1, LABELLERS)
+    vote = np.array([unpattern(n) for n in numbers.tolist()], dtype=np.int64).reshape(-1, LABELLERS)
     table = np.zeros((2, LABELLERS, 3))
     # P(nothing), P(good), P(junk) for good and for junk documents before any is seen.
     table[1], table[0] = (0.55, 0.44, 0.01), (0.55, 0.15, 0.3)

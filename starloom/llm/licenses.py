@@ -182,9 +182,9 @@ def train(documents: DataFrame, text: str = "text", sample: int = SAMPLE_PARAGRA
     lines = documents.select(F.explode(F.split(F.col(f"`{text}`"), "\n")).alias("line")).filter(
         F.col("line").rlike(r"[^\x20\x09-\x0D]")
     )
-    # Few words each, and distinct by hash: the sample is bounded in rows.
+    # The sample is bounded in rows; its lines are whole.
     picked = lines.select("line", F.xxhash64("line").alias("h")).orderBy("h", "line").limit(sample)
-    return fit([_words(r["line"][:20_000]) for r in picked.collect()])
+    return fit([_words(r["line"]) for r in picked.collect()])
 
 
 def scan(documents: DataFrame, model: Families, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -6,7 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
+
+from starloom.functions.columns import UNPARSED
 
 # The columns that are not text, for each raw table.  Timestamps and
 # review scores are read as text and parsed in cleaning, where a bad value becomes
@@ -44,26 +46,31 @@ def read_csv(
     path: str,
     column_types: Mapping[str, str] | None = None,
     multiline: bool = False,
+    unparsed: str | None = None,
 ) -> DataFrame:
     """Read CSV files with a header row.
 
-    Only the header is looked at first, to lay the wanted types over the columns in
-    the order in which the file has them.  A multiline file is read by one task, so
-    large inputs should come as many files.
+    Everything is read as text; columns with a wanted type are then parsed, and text that
+    is no such value gives NULL.  ``unparsed`` names a column to keep those texts in, as a
+    map from column to text.  Every file's header is compared with the first one's, and
+    reading raises where it differs.  A multiline file is read by one task, so large
+    inputs should come as many files.
     """
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    reader = reader.option("enforceSchema", False)
     if multiline:
         reader = reader.option("multiLine", True)
-    header = reader.csv(path).columns
-    types = column_types or {}
-    schema = T.StructType(
-        [T.StructField(c, _spark_type(types.get(c, "string"))) for c in header]
-    )
-    return reader.schema(schema).csv(path)
-
-
-def _spark_type(name: str) -> T.DataType:
-    return T.StructType.fromDDL(f"c {name}")["c"].dataType
+    text = reader.csv(path)
+    types = {c: t for c, t in (column_types or {}).items() if c in text.columns and t != "string"}
+    parsed = {c: F.col(c).try_cast(t) for c, t in types.items()}
+    if unparsed and types:
+        texts = [
+            (F.lit(c), F.when(value.isNull() & (F.trim(F.col(c)) != ""), F.col(c)))
+            for c, value in parsed.items()
+        ]
+        every = F.create_map(*[x for pair in texts for x in pair])
+        parsed[unparsed] = F.map_filter(every, lambda _, kept: kept.isNotNull())
+    return text.withColumns(parsed) if parsed else text
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -110,6 +117,7 @@ class RawFiles:
             self.path(table),
             self.column_types[table],
             multiline=table in MULTILINE_TABLES,
+            unparsed=UNPARSED,
         )
 
     def read_optional(self, table: str) -> DataFrame | None:

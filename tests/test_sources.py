@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from starloom.plans import cleaning
+from starloom.plans import cleaning, quality
 from starloom.sources.raw import RawFiles, read_csv, write_csv
 from starloom.sources.scratch import scratch_path, stage
 from starloom.sources.warehouse import Warehouse, write_table
@@ -38,15 +38,18 @@ def test_types_follow_names_and_further_columns_pass_through(spark, tmp_path):
     raw = RawFiles(spark, str(tmp_path), names={"customers": "c.csv"}).read("customers")
     assert raw.schema.simpleString() == (
         "struct<extra:string,customer_id:string,customer_zip_code_prefix:int,"
-        "customer_city:string,customer_state:string>"
+        "customer_city:string,customer_state:string,unparsed_text:map<string,string>>"
     )
+    assert rows(raw.select("unparsed_text")) == [({},), ({"customer_zip_code_prefix": "bad"},)]
+    counts = quality.unparsed_values({"customers": raw})
+    assert rows(counts) == [("customers", "customer_zip_code_prefix", 1)]
     assert rows(raw.select("extra", "customer_zip_code_prefix")) == [("e1", 1409), (None, None)]
 
 
 def test_column_types_can_be_added(spark, tmp_path):
     (tmp_path / "products.csv").write_text("product_id,product_weight_g\np,3\n")
     files = RawFiles(spark, str(tmp_path), column_types={"products": {"product_weight_g": "int"}})
-    assert rows(files.read("products")) == [("p", 3)]
+    assert rows(files.read("products").drop("unparsed_text")) == [("p", 3)]
 
 
 def test_optional_table(spark, tmp_path):
@@ -97,3 +100,12 @@ def test_scratch_goes_to_the_shared_folder(spark):
 def test_plain_table(spark, tmp_path):
     write_table(spark.range(5), str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 5
+
+
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    folder = tmp_path / "items"
+    folder.mkdir()
+    (folder / "a.csv").write_text("order_id,price\no1,1.0\n")
+    (folder / "b.csv").write_text("price,order_id\n2.0,o2\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(folder), {"price": "double"}).collect()

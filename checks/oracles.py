@@ -7,6 +7,12 @@ aggregates, ``quantile_disc`` where it narrows down, and so on).
 
 from __future__ import annotations
 
+def money(column: str) -> str:
+    """The sum of the doubles' shortest decimal forms, rounded once, to a double."""
+    exact = f"sum(CAST(CAST({column} AS VARCHAR) AS DECIMAL(38,18)))"
+    return f"CAST(CAST({exact} AS VARCHAR) AS DOUBLE)"
+
+
 # name -> (body, names of the expressions it builds on)
 PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
     "raw_orders": (
@@ -70,23 +76,31 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
     "payments": (
         """
+        WITH paid AS (
+            SELECT *, CASE WHEN l_quantity <> 5 THEN l_extendedprice END AS paid FROM lineitem)
         SELECT l_orderkey AS order_id,
-               CASE l_returnflag WHEN 'A' THEN 'credit_card' WHEN 'N' THEN 'boleto'
-                    ELSE CASE l_linestatus WHEN 'O' THEN 'not_defined' ELSE 'voucher' END
+               CASE WHEN l_quantity = 6 THEN NULL WHEN l_returnflag = 'A' THEN 'credit_card'
+                    WHEN l_returnflag = 'N' THEN 'boleto'
+                    WHEN l_linestatus = 'O' THEN 'not_defined' ELSE 'voucher'
                END AS payment_type,
                l_linenumber AS payment_installments,
-               least(l_extendedprice, cap) AS payment_value,
-               l_extendedprice AS raw_payment_value
-        FROM lineitem, (SELECT quantile_disc(l_extendedprice, 0.99) AS cap FROM lineitem)""",
+               CASE WHEN paid > cap THEN cap ELSE paid END AS payment_value,
+               CASE WHEN l_quantity <> 7 THEN 8 - l_linenumber // 2 END AS payment_sequential,
+               paid AS raw_payment_value
+        FROM paid, (SELECT quantile_disc(paid, 0.99) AS cap FROM paid)""",
         (),
     ),
     "pay_agg": (
-        """
+        f"""
         SELECT order_id,
-               CAST(sum(CAST(payment_value AS DECIMAL(18,4))) AS DOUBLE) AS total_payment_value,
+               {money('payment_value')} AS total_payment_value,
                CAST(sum(payment_installments) AS BIGINT) AS total_installments,
-               array_to_string(list_sort(list(DISTINCT payment_type)), ',') AS payment_types,
-               arg_min(payment_type, (-payment_value, payment_type)) AS primary_payment_type
+               coalesce(array_to_string(list_sort(
+                   list(DISTINCT payment_type) FILTER (payment_type IS NOT NULL)), ','), '')
+                   AS payment_types,
+               first(payment_type ORDER BY payment_sequential NULLS LAST,
+                     payment_value DESC NULLS LAST, payment_type)
+                   FILTER (payment_type IS NOT NULL) AS primary_payment_type
         FROM payments GROUP BY order_id""",
         ("payments",),
     ),
@@ -173,20 +187,20 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
         (),
     ),
     "months": (
-        """
+        f"""
         SELECT order_year, order_month, count(DISTINCT order_id) AS total_orders,
-               CAST(sum(CAST(item_revenue AS DECIMAL(18,4))) AS DECIMAL(28,4)) AS revenue,
-               sum(CAST(avg_review_score AS DECIMAL(24,10))) / count(avg_review_score) AS rating
+               {money('item_revenue')} AS revenue,
+               {money('avg_review_score')} / count(avg_review_score) AS rating
         FROM fact
         WHERE order_status <> 'canceled' AND order_year BETWEEN 1996 AND 1998
         GROUP BY ALL""",
         ("fact",),
     ),
     "all_months": (
-        """
+        f"""
         SELECT order_year, order_month, count(DISTINCT order_id) AS total_orders,
-               CAST(sum(CAST(item_revenue AS DECIMAL(18,4))) AS DECIMAL(28,4)) AS revenue,
-               sum(CAST(avg_review_score AS DECIMAL(24,10))) / count(avg_review_score) AS rating
+               {money('item_revenue')} AS revenue,
+               {money('avg_review_score')} / count(avg_review_score) AS rating
         FROM fact
         WHERE order_status <> 'canceled' AND order_year IS NOT NULL
         GROUP BY ALL""",
@@ -197,15 +211,12 @@ PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
 
 def r(value: str, digits: int) -> str:
     """Round half away from zero, on the decimal value."""
-    return f"CAST(round(CAST({value} AS DECIMAL(28,8)), {digits}) AS DOUBLE)"
+    exact = f"CAST(CAST(CAST({value} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18))"
+    return f"CAST(round({exact}, {digits}) AS DOUBLE)"
 
 
 def mean(column: str) -> str:
-    return f"sum(CAST({column} AS DECIMAL(24,10))) / count({column})"
-
-
-def money(column: str) -> str:
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,4))) AS DECIMAL(28,4))"
+    return f"{money(column)} / nullif(count({column}), 0)"
 
 
 def trend(months: str) -> str:
@@ -439,7 +450,7 @@ ORACLES: dict[str, str] = {
     "winsorize_payments": _with(
         """
         SELECT order_id, payment_type, payment_installments, payment_value,
-               raw_payment_value
+               payment_sequential, raw_payment_value
         FROM payments""",
         "payments",
     ),
@@ -448,14 +459,14 @@ ORACLES: dict[str, str] = {
                CAST(c_custkey * 37 % 123457 AS INTEGER) AS customer_zip_code_prefix,
                lower(c_name) AS customer_city,
                CASE WHEN c_nationkey <> 24 THEN upper(n_name) END AS customer_state,
-               left(CASE WHEN c_custkey * 37 % 123457 < 100000
-                         THEN right('0000' || (c_custkey * 37 % 123457), 5)
-                         ELSE CAST(c_custkey * 37 % 123457 AS VARCHAR) END, 5)
+               CASE WHEN c_custkey * 37 % 123457 < 100000
+                    THEN right('0000' || (c_custkey * 37 % 123457), 5)
+                    ELSE CAST(c_custkey * 37 % 123457 AS VARCHAR) END
                    AS customer_zip_str
         FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
     "dim_sellers": _with(
         """
-        SELECT *, lpad(CAST(seller_zip_code_prefix AS VARCHAR), 5, '0') AS seller_zip_str
+        SELECT *, printf('%05d', seller_zip_code_prefix) AS seller_zip_str
         FROM sellers""",
         "sellers",
     ),
@@ -547,7 +558,7 @@ ORACLES: dict[str, str] = {
     "fact_sellers_broadcast": _with(
         """
         SELECT f.*, seller_zip_code_prefix, seller_city, seller_state,
-               lpad(CAST(seller_zip_code_prefix AS VARCHAR), 5, '0') AS seller_zip_str
+               printf('%05d', seller_zip_code_prefix) AS seller_zip_str
         FROM fact f LEFT JOIN sellers USING (seller_id)""",
         "fact",
         "sellers",
@@ -659,11 +670,11 @@ ORACLES: dict[str, str] = {
         "q5",
     ),
     "viz_state_top10": _with(
-        """
+        f"""
         SELECT seller_state, total / 1e6 AS revenue_millions,
                row_number() OVER (ORDER BY total DESC, seller_state) = 1 AS is_largest
         FROM (SELECT seller_state,
-                     CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total
+                     {money('total_revenue')} AS total
               FROM q3 WHERE seller_state IS NOT NULL
               GROUP BY seller_state ORDER BY total DESC, seller_state LIMIT 10)""",
         "q3",

@@ -78,11 +78,12 @@ CATEGORY_TRANSLATION = """
 
 PAYMENTS = """
     SELECT l_orderkey AS order_id,
-           CASE l_returnflag WHEN 'A' THEN ' Credit_Card' WHEN 'N' THEN 'BOLETO'
+           CASE WHEN l_quantity = 6 THEN NULL ELSE CASE l_returnflag WHEN 'A' THEN ' Credit_Card' WHEN 'N' THEN 'BOLETO'
                 ELSE CASE l_linestatus WHEN 'O' THEN 'not_defined' ELSE 'voucher ' END
-           END AS payment_type,
+           END END AS payment_type,
            l_linenumber AS payment_installments,
-           l_extendedprice AS payment_value
+           CASE WHEN l_quantity <> 5 THEN l_extendedprice END AS payment_value,
+           CASE WHEN l_quantity <> 7 THEN cast(8 - l_linenumber DIV 2 AS int) END AS payment_sequential
     FROM {lineitem}"""
 
 REVIEWS = """

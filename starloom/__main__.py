@@ -1,4 +1,4 @@
-"""``spark-submit`` entry: python -m starloom RAW_DIR WAREHOUSE_DIR [table=file ...]"""
+"""``spark-submit`` entry: python -m starloom RAW_DIR WAREHOUSE_DIR [--lenient] [table=file ...]"""
 
 import sys
 
@@ -7,4 +7,6 @@ from starloom.build import main
 if __name__ == "__main__":
     if len(sys.argv) < 3:
         raise SystemExit(__doc__)
-    main(sys.argv[1], sys.argv[2], dict(pair.split("=", 1) for pair in sys.argv[3:]))
+    lenient, *files = "--lenient" in sys.argv, *[a for a in sys.argv[3:] if a != "--lenient"]
+    names = dict(pair.split("=", 1) for pair in files)
+    main(sys.argv[1], sys.argv[2], names, strict=not lenient)

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Sums and means of doubles depend on the order in which tasks finish.  Going
 # through a decimal makes them exact, so that a result never changes from one
-# run (or one cluster size) to the next.
-MONEY = "decimal(18,4)"
-MEASURE = "decimal(24,10)"
+# run (or one cluster size) to the next.  Values from EXACT_BELOW on, and those
+# that are not finite, do not fit and are added as doubles.
+EXACT = "decimal(38,18)"
+EXACT_BELOW = 1e12
 COORDINATE = "decimal(30,16)"
 
+# The column in which a CSV reader keeps, by column name, text that did not parse.
+UNPARSED = "unparsed_text"
+
 # Label, first hour, last hour (both inclusive).  Any other hour,
 # and a missing hour, is "Night".
 DAY_PARTS = (
@@ -32,6 +36,15 @@ def number(name: str) -> Column:
     return F.col(name).try_cast("double")
 
 
+def not_read(df: DataFrame, name: str) -> Column:
+    """True where a column to be read as a number holds text that is none; never NULL."""
+    blank = F.trim(F.col(name).cast("string")) == ""
+    bad = F.col(name).isNotNull() & ~blank & number(name).isNull()
+    if UNPARSED in df.columns:
+        bad = bad | F.coalesce(F.map_contains_key(UNPARSED, name), F.lit(False))
+    return bad
+
+
 def whole_number(name: str) -> Column:
     """Read an integer from any column type; text that is no number gives NULL."""
     return F.col(name).try_cast("double").try_cast("int")
@@ -46,8 +59,9 @@ def upper_trimmed(name: str) -> Column:
 
 
 def zip_label(name: str) -> Column:
-    """Five-character zip for display: zero-padded, longer input is cut."""
-    return F.lpad(F.col(name).cast("string"), 5, "0")
+    """Zip for display, zero-padded to five characters; a longer one stays whole."""
+    text = F.col(name).cast("string")
+    return F.when(F.length(text) < 5, F.lpad(text, 5, "0")).otherwise(text)
 
 
 def day_part(hour: Column) -> Column:
@@ -82,14 +96,21 @@ def sentiment(score: Column) -> Column:
     )
 
 
-def money_sum(value: Column) -> Column:
-    """Exact sum of a money column, as a decimal."""
-    return F.sum(value.cast(MONEY))
+def exact_sum(value: Column) -> Column:
+    """Sum of doubles that does not depend on the order of the rows; NULL if there is none.
+
+    Nothing is rounded before it is added, but for digits beyond the eighteenth place.
+    NaN and infinity show in the sum, as they do in a plain one.
+    """
+    fits = F.abs(value) < EXACT_BELOW
+    exact = F.sum(F.when(fits, value.cast("double")).cast(EXACT)).cast("double")
+    other = F.sum(F.when(~fits, value.cast("double")))
+    return F.coalesce(exact + other, exact, other)
 
 
 def exact_mean(value: Column) -> Column:
     """Mean whose last digits do not depend on the order of the rows."""
-    return F.avg(value.cast(MEASURE))
+    return exact_sum(value) / F.nullif(F.count(value), F.lit(0))
 
 
 def mean_coordinate(name: str) -> Column:

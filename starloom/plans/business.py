@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.functions.columns import exact_mean, money_sum, rounded
-from starloom.sources.scratch import stage
+from starloom.functions.columns import exact_mean, exact_sum, rounded
 
 CANCELED = "canceled"
 DELIVERED = "delivered"
@@ -33,7 +32,7 @@ def _months(fact: DataFrame, first_year: int, last_year: int) -> DataFrame:
         .groupBy("order_year", "order_month")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
-            money_sum(F.col("item_revenue")).alias("revenue"),
+            exact_sum(F.col("item_revenue")).alias("revenue"),
             rounded(exact_mean(F.col("avg_review_score")), 2).alias("avg_rating"),
         )
     )
@@ -43,7 +42,7 @@ def _month_trend(months: DataFrame) -> DataFrame:
     # At most twelve rows for each year asked for reach this window.
     before = F.lag("revenue", 1).over(Window.orderBy("order_year", "order_month"))
     now, prev = F.col("revenue"), F.col("previous")
-    growth = (now - prev).cast("double") / F.nullif(prev.cast("double"), F.lit(0.0)) * 100
+    growth = (now - prev) / F.nullif(prev, F.lit(0.0)) * 100
     return (
         months.withColumn("previous", before)
         .select(
@@ -93,7 +92,7 @@ def monthly_revenue_without_gaps(
                 "order_year": F.floor(F.col("number") / 12).cast("int"),
                 "order_month": (F.col("number") % 12 + 1).cast("int"),
                 "total_orders": F.coalesce("total_orders", F.lit(0).cast("bigint")),
-                "revenue": F.coalesce("revenue", F.lit(0).cast("decimal(28,4)")),
+                "revenue": F.coalesce("revenue", F.lit(0.0)),
             }
         )
     )
@@ -119,7 +118,7 @@ def category_revenue(fact: DataFrame, products: DataFrame, top: int = 20) -> Dat
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
             F.count("order_item_id").alias("total_items_sold"),
-            money_sum(F.col("item_revenue")).alias("revenue"),
+            exact_sum(F.col("item_revenue")).alias("revenue"),
             rounded(exact_mean(F.col("price")), 2).alias("avg_price"),
             rounded(exact_mean(F.col("avg_review_score")), 2).alias("avg_rating"),
         )
@@ -150,21 +149,23 @@ def seller_performance(
     Sellers below ``min_orders`` orders do not count, for the rank either.  The rank
     is one more than the number of sellers of the state that come first, counted
     against the ``top`` sellers only: no state's sellers are gathered and sorted.
+    Items are aggregated before the join, first by seller and order, so a seller with a
+    third of them is spread over all tasks.  Sellers must be unique in ``seller_id``.
     """
-    orders = F.count_distinct("order_id")
-    ranked = (
+    totals = (
         fact.where(F.col("order_status") == DELIVERED)
-        .join(sellers.select("seller_id", "seller_state", "seller_city"), "seller_id", "left")
-        .groupBy("seller_id", "seller_state", "seller_city")
+        .groupBy("seller_id")
         .agg(
-            orders.alias("total_orders"),
-            rounded(money_sum(F.col("item_revenue")), 2).alias("total_revenue"),
+            F.count_distinct("order_id").alias("total_orders"),
+            rounded(exact_sum(F.col("item_revenue")), 2).alias("total_revenue"),
             rounded(exact_mean(F.col("avg_review_score")), 2).alias("avg_rating"),
             rounded(F.avg("delivery_duration_days"), 1).alias("avg_delivery_days"),
         )
         .where(F.col("total_orders") >= min_orders)
     )
-    ranked = stage(ranked, "sellers_ranked")
+    ranked = totals.join(
+        sellers.select("seller_id", "seller_state", "seller_city"), "seller_id", "left"
+    ).select("seller_id", "seller_state", "seller_city", *totals.columns[1:])
     by_revenue = [F.desc_nulls_last("total_revenue"), "seller_id", "seller_state", "seller_city"]
     best = (
         ranked.orderBy(*by_revenue)
@@ -246,7 +247,7 @@ def payment_analysis(payments: DataFrame) -> DataFrame:
         .agg(
             F.count_distinct("order_id").alias("order_count"),
             rounded(exact_mean(value), 2).alias("avg_order_value"),
-            rounded(money_sum(value), 2).alias("total_value"),
+            rounded(exact_sum(value), 2).alias("total_value"),
             rounded(exact_mean(value), 2).alias("avg_payment"),
         )
         .orderBy("payment_type", "payment_installments")
@@ -258,7 +259,7 @@ def revenue_by_month_and_payment(fact: DataFrame, year: int = 2017) -> DataFrame
     return (
         fact.where(F.col("order_year") == year)
         .groupBy("order_month", "primary_payment_type")
-        .agg(money_sum(F.col("item_revenue")).cast("double").alias("monthly_revenue"))
+        .agg(exact_sum(F.col("item_revenue")).alias("monthly_revenue"))
     )
 
 

@@ -17,6 +17,7 @@ from starloom.operators.impute import (
 from starloom.operators.winsorize import keep_raw, winsorize
 from starloom.sources.scratch import stage
 
+# The times of an order.
 ORDER_TIMES = (
     "order_purchase_timestamp",
     "order_approved_at",
@@ -57,14 +58,20 @@ def clean_orders(raw: DataFrame) -> DataFrame:
 def repair_order_items(raw: DataFrame) -> DataFrame:
     """Flag and void prices that are not positive, lift negative freight to zero.
 
-    ``raw_price`` and ``raw_freight_value`` keep the values as they were read.
+    ``raw_price`` and ``raw_freight_value`` keep the values as they were read.  A price
+    whose text is no number is flagged like one that is not positive.
     """
     amounts = ["price", "freight_value"]
-    read = raw.withColumns({a: c.number(a) for a in amounts})
+    read = raw.withColumns(
+        {
+            "price_flag": F.when(c.not_read(raw, "price"), "invalid").otherwise("ok"),
+            **{a: c.number(a) for a in amounts},
+        }
+    )
     return keep_raw(read, amounts).withColumns(
         {
             "shipping_limit_date": c.timestamp("shipping_limit_date"),
-            "price_flag": F.when(F.col("price") <= 0, "invalid").otherwise("ok"),
+            "price_flag": F.when(F.col("price") <= 0, "invalid").otherwise(F.col("price_flag")),
             "price": c.null_if_not_positive(F.col("price")),
             "freight_value": c.at_least(F.col("freight_value"), 0.0),
         }

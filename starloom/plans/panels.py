@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.functions.columns import MONEY
+from starloom.functions.columns import exact_sum
 
 MILLION = 1e6
 CREDIT_CARD = "credit_card"
@@ -117,7 +117,7 @@ def top_states(sellers: DataFrame, top: int = 10) -> DataFrame:
 
     Sellers without a state are left out.  See ``top_states_of_all`` for all sellers.
     """
-    return _top_states(sellers, F.col("total_revenue").cast("decimal(28,2)"), top)
+    return _top_states(sellers, F.col("total_revenue"), top)
 
 
 def top_states_of_all(
@@ -127,14 +127,14 @@ def top_states_of_all(
     sold = fact.where(F.col("order_status") == status).join(
         sellers.select("seller_id", "seller_state"), "seller_id"
     )
-    return _top_states(sold, F.col("item_revenue").cast(MONEY), top)
+    return _top_states(sold, F.col("item_revenue"), top)
 
 
 def _top_states(df: DataFrame, revenue: Column, top: int) -> DataFrame:
     best = (
         df.where(F.col("seller_state").isNotNull())
         .groupBy("seller_state")
-        .agg(F.coalesce(F.sum(revenue).cast("double"), F.lit(0.0)).alias("total_revenue"))
+        .agg(F.coalesce(exact_sum(revenue), F.lit(0.0)).alias("total_revenue"))
         .orderBy(F.desc("total_revenue"), "seller_state")
         .limit(top)
     )

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from starloom.functions.columns import UNPARSED
+
 # The raw table whose rows a warehouse table must all hold.
 ROW_SOURCES: dict[str, str] = {
     "fact_orders": "order_items",
@@ -104,9 +106,27 @@ def compare_row_counts(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> Data
     )
 
 
+def unparsed_values(raw: Mapping[str, DataFrame]) -> DataFrame | None:
+    """Texts that did not parse, counted by raw table and column; None without such tables."""
+    counted = [
+        df.select(F.explode(F.map_keys(UNPARSED)).alias("column_name"))
+        .groupBy("column_name")
+        .agg(F.count(F.lit(1)).alias("unparsed"))
+        .select(F.lit(name).alias("table_name"), "column_name", "unparsed")
+        for name, df in raw.items()
+        if UNPARSED in df.columns
+    ]
+    return reduce(DataFrame.unionByName, counted) if counted else None
+
+
+def failed_tables(rows: Sequence[Row]) -> list[str]:
+    """The tables of collected report rows that did not pass."""
+    return [r["table_name"] for r in rows if r["status"] != "PASS"]
+
+
 def require_all_pass(*reports: DataFrame) -> None:
     """Raise if a report has a row that did not pass."""
-    failed = [r["table_name"] for report in reports for r in report.collect() if r["status"] != "PASS"]
+    failed = failed_tables([row for report in reports for row in report.collect()])
     if failed:
         raise QualityError(f"failed checks: {', '.join(failed)}")
 

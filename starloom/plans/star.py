@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.columns import money_sum
+from starloom.functions.columns import exact_sum
 from starloom.operators.joins import HotKeys, left_join_chain
 from starloom.plans import cleaning
 
@@ -49,16 +49,20 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
     """Total value and instalments, the set of types, and the primary type.
 
     The primary type is that of the first payment in sequence, where payments are
-    numbered, else of the largest one; further ties go by type.
+    numbered, else of the largest one; further ties go by type.  Payments without a type
+    are passed over; a missing number or value comes after any other.
     """
-    order = [-F.col("payment_value"), F.col("payment_type")]
+    order = [F.col("payment_value").isNull(), -F.col("payment_value"), F.col("payment_type")]
     if "payment_sequential" in payments.columns:
-        order.insert(0, F.col("payment_sequential"))
+        number = F.col("payment_sequential")
+        order = [number.isNull(), number, *order]
+    # An ordering that is NULL is never the least.
+    first = F.when(F.col("payment_type").isNotNull(), F.struct(*order))
     return payments.groupBy("order_id").agg(
-        money_sum(F.col("payment_value")).cast("double").alias("total_payment_value"),
+        exact_sum(F.col("payment_value")).alias("total_payment_value"),
         F.sum("payment_installments").alias("total_installments"),
         F.sort_array(F.collect_set("payment_type")).alias("payment_types"),
-        F.min_by("payment_type", F.struct(*order)).alias("primary_payment_type"),
+        F.min_by("payment_type", first).alias("primary_payment_type"),
     )
 
 

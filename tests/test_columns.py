@@ -82,7 +82,7 @@ def test_places(spark):
     got = rows(
         cleaning.normalise_place(raw, "seller").select("seller_zip_str", "seller_city", "seller_state")
     )
-    assert got == [("01234", "sao paulo", "SP"), ("12345", "x", "RJ"), (None, None, None)]
+    assert got == [("01234", "sao paulo", "SP"), ("123456", "x", "RJ"), (None, None, None)]
 
 
 def test_orders(spark):
@@ -121,3 +121,39 @@ def test_amounts_that_are_no_numbers_become_null(spark):
     assert rows(fixed.select("price", "freight_value", "raw_price", "shipping_limit_date")) == [
         (12.5, None, 12.5, None), (None, 0.0, None, None),
     ]
+
+
+def test_sums_round_nothing_and_keep_what_is_not_finite(spark):
+    def total(*values):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        return df.agg(c.exact_sum(F.col("v")), c.exact_mean(F.col("v"))).first()
+
+    assert total(*[0.00004] * 1000) == (0.04, 0.00004)
+    assert total(1e15, 1.0, None) == (1e15 + 1, (1e15 + 1) / 2)
+    assert total(float("inf"), 1.0)[0] == float("inf")
+    assert total(float("nan"), 1.0)[0] != total(float("nan"), 1.0)[0]
+    assert total(None) == (None, None) and total() == (None, None)
+
+
+def test_a_price_that_is_no_number_is_invalid(spark):
+    raw = spark.createDataFrame([("abc", "1"), (" ", "1"), ("2", "1")], "price string, freight_value string")
+    fixed = cleaning.repair_order_items(raw.withColumn("shipping_limit_date", F.lit("?")))
+    assert rows(fixed.select("price", "price_flag")) == [(None, "invalid"), (None, "ok"), (2.0, "ok")]
+
+
+def test_primary_payment_type_passes_over_what_is_missing(spark):
+    from starloom.plans.star import payments_per_order
+
+    payments = spark.createDataFrame(
+        [
+            (1, "boleto", None, None), (1, "credit_card", 100.0, None),
+            (2, None, 5.0, 1), (2, "voucher", 5.0, 2),
+            (3, "boleto", 9.0, None), (3, "voucher", 1.0, 4),
+            (4, None, None, None),
+        ],
+        "order_id int, payment_type string, payment_value double, payment_sequential int",
+    ).withColumn("payment_installments", F.lit(1))
+    first = {r.order_id: r.primary_payment_type for r in payments_per_order(payments).collect()}
+    assert first == {1: "credit_card", 2: "voucher", 3: "voucher", 4: None}
+    unnumbered = payments_per_order(payments.drop("payment_sequential"))
+    assert {r.order_id: r.primary_payment_type for r in unnumbered.collect()}[3] == "boleto"

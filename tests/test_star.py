@@ -206,6 +206,21 @@ def test_main(spark, tmp_path, capsys):
     ]
 
 
+def test_main_goes_on_after_a_finding_when_not_strict(spark, tmp_path, capsys):
+    (tmp_path / "raw").mkdir()
+    for name, text in CSV.items():
+        if name == "orders":
+            text += "o3,c2,shipped,never,,,,\n"
+        (tmp_path / "raw" / f"{name}.csv").write_text(text.replace("99.0,11.0", "abc,11.0"))
+    with pytest.raises(quality.QualityError, match="dim_date"):
+        build.main(str(tmp_path / "raw"), str(tmp_path / "w"))
+    capsys.readouterr()
+    build.main(str(tmp_path / "raw"), str(tmp_path / "v"), strict=False)
+    out = capsys.readouterr().out
+    assert "orders without items: 1" in out and "order_items.price: 1 texts did not parse" in out
+    assert out.count("\n--- ") == len(build.QUERIES)
+
+
 def test_missing_tables_fail_loudly(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         Warehouse(spark, str(tmp_path)).register_views()

@@ -376,9 +376,7 @@ ORACLES: dict[str, str] = {
     "src_csv_multiline": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "src_parquet_partitioned": _with(
         """
-        SELECT order_id, order_item_id, product_id, seller_id, item_total_cost,
-               order_year, order_month
-        FROM fact""",
+        SELECT * FROM fact""",
         "fact",
     ),
     "views_smoke": _with(
@@ -493,6 +491,23 @@ ORACLES: dict[str, str] = {
     "dim_products": _product_query(
         "category", "english AS product_category_name_english,", "products"
     ),
+    "dim_products_photos_mode": _with(
+        """
+        SELECT product_id, native AS product_category_name,
+               english AS product_category_name_english,
+               CAST(coalesce(name_length, quantile_disc(name_length, 0.5)
+                             OVER (PARTITION BY category)) AS INTEGER) AS product_name_length,
+               description_length AS product_description_length,
+               CAST(coalesce(photos, usual) AS INTEGER) AS product_photos_qty,
+               category AS product_category_name_en,
+               native IS NULL OR name_length IS NULL OR photos IS NULL AS is_imputed
+        FROM products LEFT JOIN (
+            SELECT category, photos AS usual FROM products WHERE photos IS NOT NULL
+            GROUP BY category, photos
+            QUALIFY row_number() OVER (
+                PARTITION BY category ORDER BY count(*) DESC, photos) = 1) USING (category)""",
+        "products",
+    ),
     "dim_products_no_translation": _product_query(
         "coalesce(native, 'unknown')", "", "named_products"
     ),
@@ -555,6 +570,44 @@ ORACLES: dict[str, str] = {
         "orders_clean",
     ),
     "fact_orders": _with("SELECT * FROM fact", "fact"),
+    "fact_orders_latest_score": _with(
+        """
+        SELECT fact.* REPLACE (CAST(last_score AS DOUBLE) AS avg_review_score)
+        FROM fact LEFT JOIN (
+            SELECT order_id, review_score AS last_score FROM reviews
+            QUALIFY row_number() OVER (
+                PARTITION BY order_id
+                ORDER BY review_answer_timestamp DESC NULLS LAST, review_id DESC) = 1)
+            USING (order_id)""",
+        "fact",
+        "reviews",
+    ),
+    "order_items_repaired_prices": _with(
+        """
+        , filled AS (
+            SELECT *, coalesce(good_price, median) AS full_price
+            FROM repaired LEFT JOIN products USING (product_id) LEFT JOIN (
+                SELECT category, quantile_disc(good_price, 0.5) AS median
+                FROM repaired JOIN products USING (product_id)
+                GROUP BY category) USING (category)),
+        caps AS (
+            SELECT quantile_disc(full_price, 0.99) AS top_price,
+                   quantile_disc(good_freight, 0.99) AS top_freight
+            FROM filled),
+        capped AS (
+            SELECT *, CASE WHEN full_price IS NOT NULL
+                           THEN least(full_price, top_price) END AS price,
+                   CASE WHEN good_freight IS NOT NULL
+                        THEN least(good_freight, top_freight) END AS freight_value
+            FROM filled, caps)
+        SELECT order_id, order_item_id, product_id, seller_id,
+               ships AS shipping_limit_date, price, freight_value, raw_price,
+               raw_freight AS raw_freight_value, price_flag,
+               coalesce(price, 0.0) + freight_value AS item_total_cost
+        FROM capped""",
+        "repaired",
+        "products",
+    ),
     "fact_sellers_broadcast": _with(
         """
         SELECT f.*, seller_zip_code_prefix, seller_city, seller_state,

@@ -54,8 +54,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return warehouse.read(name)
 
 
-def _star(attribute: str) -> Query:
-    return lambda spark, sf_dir: getattr(Star(RawTables(spark, sf_dir)), attribute)
+def _star(attribute: str, **options) -> Query:
+    return lambda spark, sf_dir: getattr(Star(RawTables(spark, sf_dir), **options), attribute)
 
 
 def _raw(name: str, plan: Callable[[DataFrame], DataFrame]) -> Query:
@@ -85,10 +85,7 @@ def src_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def src_parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "fact_orders").select(
-        "order_id", "order_item_id", "product_id", "seller_id", "item_total_cost",
-        "order_year", "order_month",
-    )
+    return table(spark, sf_dir, "fact_orders")
 
 
 def views_smoke(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,6 +214,7 @@ QUERIES: dict[str, Query] = {
     "impute_group_mode": impute_group_mode,
     "impute_flag": impute_flag,
     "dim_products": _star("dim_products"),
+    "dim_products_photos_mode": _star("dim_products", photos="mode"),
     "dim_products_no_translation": _raw(
         "products", lambda raw: cleaning.clean_products(raw, None)
     ),
@@ -236,6 +234,8 @@ QUERIES: dict[str, Query] = {
     ),
     "dim_date": _star("dim_date"),
     "fact_orders": _star("fact_orders"),
+    "fact_orders_latest_score": _star("fact_orders", score="latest"),
+    "order_items_repaired_prices": _star("items", repair_prices=True),
     "fact_sellers_broadcast": _stored(business.with_seller, "fact_orders", "dim_sellers"),
     "month_paytype_revenue": _stored(
         lambda fact: business.revenue_by_month_and_payment(fact, ONE_YEAR), "fact_orders"

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.plans import business, quality
+from starloom.plans import business, panels, quality
 from starloom.plans.star import Star
 from starloom.sources.raw import COLUMN_TYPES, RawFiles
 from starloom.sources.scratch import stage
@@ -28,13 +28,14 @@ def load_raw(raw: RawFiles, columnar: bool = True) -> dict[str, DataFrame]:
     return tables
 
 
-def build_warehouse(raw: Mapping[str, DataFrame], warehouse: Warehouse) -> None:
-    """Write all tables of the star schema."""
-    star = Star(raw)
+def build_warehouse(raw: Mapping[str, DataFrame], warehouse: Warehouse, **options) -> None:
+    """Write all tables of the star schema; ``options`` are those of ``Star``."""
+    star = Star(raw, **options)
     for table in TABLES:
         if table != "fact_orders":
             warehouse.write(table, getattr(star, table))
-    # The fact takes payments and reviews from the tables just written.
+    # The fact takes products, payments and reviews from the tables just written.
+    star.dim_products = warehouse.read("dim_products")
     star.dim_payments = warehouse.read("dim_payments")
     star.dim_reviews = warehouse.read("dim_reviews")
     warehouse.write("fact_orders", star.fact_orders)
@@ -71,9 +72,26 @@ QUERIES: dict[str, Query] = {
     "payment_analysis": lambda w: business.payment_analysis(w.read("dim_payments")),
 }
 
+# Other readings of the same questions, by name.
+VARIANTS: dict[str, Query] = {
+    "monthly_revenue_without_gaps": lambda w: business.monthly_revenue_without_gaps(
+        w.read("fact_orders")
+    ),
+    "late_orders_by_state": lambda w: business.late_orders_by_state(
+        w.read("fact_orders"), w.read("dim_sellers")
+    ),
+    "payment_share_of_orders": lambda w: panels.payment_share_of_orders(
+        w.read("dim_payments")
+    ),
+    "top_states_of_all": lambda w: panels.top_states_of_all(
+        w.read("fact_orders"), w.read("dim_sellers")
+    ),
+}
+
 
-def run_queries(warehouse: Warehouse) -> dict[str, DataFrame]:
-    return {name: query(warehouse) for name, query in QUERIES.items()}
+def run_queries(warehouse: Warehouse, variants: bool = False) -> dict[str, DataFrame]:
+    chosen = QUERIES | VARIANTS if variants else QUERIES
+    return {name: query(warehouse) for name, query in chosen.items()}
 
 
 def preview(df: DataFrame, rows: int = 5) -> str:
@@ -108,15 +126,16 @@ def main(
     warehouse_root: str,
     names: Mapping[str, str] | None = None,
     strict: bool = True,
+    **options,
 ) -> None:
-    """Build, check and query.
+    """Build, check and query; ``options`` are those of ``Star``.
 
     With ``strict``, a failed check ends the run before any query; without, it is
     reported and the queries are answered all the same.
     """
     spark = SparkSession.builder.appName("starloom").getOrCreate()
     raw, warehouse = load_raw(RawFiles(spark, raw_root, names)), Warehouse(spark, warehouse_root)
-    build_warehouse(raw, warehouse)
+    build_warehouse(raw, warehouse, **options)
     # A row for each table, collected once.
     checked = [row for report in check_warehouse(raw, warehouse) for row in report.collect()]
     for line in [*map(str, checked), *notes(raw)]:

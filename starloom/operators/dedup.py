@@ -30,3 +30,12 @@ def dedup_by_key(
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The keys that occur more than once, with their number of rows."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+
+
+def require_unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``df`` itself, or an error if a key (other than a missing one) occurs twice."""
+    whole = df.select(*keys).dropna()
+    twice = duplicate_keys(whole, keys).first()
+    if twice is not None:
+        raise ValueError(f"{name} holds {twice.asDict()}; it must be unique in {list(keys)}")
+    return df

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.joins import lookup_join
 from starloom.operators.quantiles import group_quantile
+from starloom.sources.scratch import stage
 
 
 def mark_missing(df: DataFrame, columns: Sequence[str], flag: str) -> DataFrame:
@@ -42,13 +43,40 @@ def fill_from_group(df: DataFrame, lookup: DataFrame, column: str, by: str) -> D
     return lookup_join(df, named, by).withColumn(column, filled).drop("_fill")
 
 
-def fill_group_median(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
-    """Fill NULLs with the group's median; a group without values stays NULL."""
-    return reduce(
-        lambda out, c: fill_from_group(out, group_median(df, c, by), c, by), columns, df
+def group_medians(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
+    """The lower median of several columns per group, found in the same passes.
+
+    One row per group that has a value in any of them; ``_by`` is the group as text.
+    """
+    values = [F.struct(F.lit(i).alias("which"), F.col(c).cast("double").alias("value"))
+              for i, c in enumerate(columns)]
+    group = F.col(by).cast("string")
+    long = df.select(group.alias("_by"), F.inline(F.array(*values))).select(
+        F.concat("which", F.lit(":"), "_by").alias("cell"), "value"
+    )
+    cells = group_quantile(long, "value", 0.5, "cell")
+    which, name = F.substring_index("cell", ":", 1), F.expr("substring(cell, locate(':', cell) + 1)")
+    return cells.groupBy(name.alias("_by")).agg(
+        *[F.max(F.when(which == str(i), F.col("value"))).alias(f"_fill{i}") for i in range(len(columns))]
     )
 
 
+def fill_group_median(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
+    """Fill NULLs with the group's median; a group without values stays NULL.
+
+    The needed columns are staged once, all medians come from the same passes, and one
+    join brings them to the rows.
+    """
+    needed = stage(df.select(by, *columns), "gaps")
+    lookup = group_medians(needed, columns, by)
+    filled = lookup_join(df.withColumn("_by", F.col(by).cast("string")), lookup, "_by")
+    fills = {
+        c: F.coalesce(F.col(c), F.col(f"_fill{i}").cast(df.schema[c].dataType))
+        for i, c in enumerate(columns)
+    }
+    return filled.withColumns(fills).select(*df.columns)
+
+
 def fill_group_mode(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Fill NULLs with the group's most frequent value."""
     return reduce(

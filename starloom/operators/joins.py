@@ -20,8 +20,11 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot when it owns at least this share of the rows and this many rows.
-# The share bounds the number of hot keys (10,000), and so each broadcast.
+from starloom.sources.scratch import stage
+
+# A key is hot when it owns at least this share of the rows, or the rows of one shuffle
+# task if that is less, and at least HOT_ROWS.  The share bounds the number of hot keys
+# (10,000, or the number of shuffle partitions), and so each broadcast.
 HOT_SHARE = 1e-4
 HOT_ROWS = 1_000_000
 
@@ -40,8 +43,14 @@ class HotKeys(NamedTuple):
         return bool(self.values) or self.nulls
 
 
+def hot_share(df: DataFrame) -> float:
+    """The share of the rows that fills a shuffle task, ``HOT_SHARE`` at most."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(HOT_SHARE, 1 / partitions)
+
+
 def hot_keys(
-    df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+    df: DataFrame, key: str, share: float | None = None, min_rows: int | None = None
 ) -> HotKeys:
     """The keys that own a large share of ``df``.
 
@@ -50,6 +59,8 @@ def hot_keys(
     pass settles that there is none; otherwise the keys of the hot buckets, and only
     those, are counted one by one.  At most ``1 / share`` values come to the driver.
     """
+    share = hot_share(df) if share is None else share
+    min_rows = HOT_ROWS if min_rows is None else min_rows
     keys = df.select(
         F.col(key).alias("key"),
         F.pmod(F.xxhash64(key), F.lit(HASH_BUCKETS)).alias("bucket"),
@@ -83,10 +94,12 @@ def small_copy(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame | None:
     return df.sparkSession.createDataFrame(table, df.schema)
 
 
-def _join_small(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join with a right side that should be small: broadcast if it is."""
-    small = small_copy(right)
-    return left.join(right if small is None else F.broadcast(small), key, "left")
+def _join_hot(left: DataFrame, right: DataFrame, key: str, values: list) -> DataFrame:
+    """Left join of the hot keys' rows with a broadcast row per key; more rows raise."""
+    small = small_copy(right.where(F.col(key).isin(values)), len(values))
+    if small is None:
+        raise ValueError(f"{key} is not unique in the joined table")
+    return left.join(F.broadcast(small), key, "left")
 
 
 def left_join_chain(
@@ -98,8 +111,8 @@ def left_join_chain(
     """Left-join several tables that are unique in ``key`` onto ``left``.
 
     Each input is shuffled once on the key.  Rows of hot keys, and rows without a
-    key, are not shuffled: the hot keys' rows of the other tables are counted and
-    broadcast.
+    key, are not shuffled: the hot keys' rows of the other tables, one per key, are
+    broadcast.  A hot key that a table holds twice raises.
     """
     hot = hot_keys(left, key) if hot is None else hot
     if not hot:
@@ -110,7 +123,7 @@ def left_join_chain(
         lambda df, right: df.join(right, key, "left"), rights, left.where(~is_hot)
     )
     in_place = reduce(
-        lambda df, right: _join_small(df, right.where(F.col(key).isin(hot.values)), key),
+        lambda df, right: _join_hot(df, right, key, hot.values),
         rights,
         left.where(is_hot),
     )
@@ -122,9 +135,10 @@ def lookup_join(
 ) -> DataFrame:
     """Left-join a computed lookup that is unique in ``key`` and usually small.
 
-    The lookup is run once; up to ``max_rows`` rows of it are broadcast.  A larger
-    one is joined by shuffle, with hot keys of ``left`` kept in place.
+    The lookup is run once and staged; up to ``max_rows`` rows of it are broadcast.  A
+    larger one is joined by shuffle, with hot keys of ``left`` kept in place.
     """
+    lookup = stage(lookup, "lookup")
     small = small_copy(lookup, max_rows)
     if small is not None:
         return left.join(F.broadcast(small), key, "left")

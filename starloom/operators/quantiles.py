@@ -17,7 +17,7 @@ the true value.  A value repeated by a third of all rows is one bucket entry.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -94,14 +94,19 @@ def _other_passes(chosen: DataFrame, join: Callable[[DataFrame], DataFrame]) ->
     return _choose(values.agg(*_tally(rank)))
 
 
-def quantile_of_few(df: DataFrame, value: str, share: float, by: str) -> DataFrame:
+def quantile_of_few(
+    df: DataFrame, value: str, share: float, by: str, groups: Sequence
+) -> DataFrame:
     """The least value with at least ``share`` of its group's values at or below it.
 
-    For a handful of groups, known beforehand: one row per group is broadcast and the
-    plan stays lazy.  Returns ``by`` and ``value``; NULL and NaN are no values, groups
+    For a handful of named groups: one row for each of ``groups`` is broadcast and the
+    plan stays lazy.  Rows of other groups are left out; more than ``LOOKUP_ROWS`` names
+    raise.  Returns ``by`` and ``value``; NULL and NaN are no values, groups
     without a value are left out, and rows whose group is NULL belong to no group.
     """
-    numbers = _numbers(df, value, by)
+    if len(groups) > LOOKUP_ROWS:
+        raise ValueError(f"at most {LOOKUP_ROWS} groups can be named")
+    numbers = _numbers(df, value, by).where(F.col("g").isin(list(groups)))
     found = _other_passes(
         _first_pass(numbers, share), lambda chosen: numbers.join(F.broadcast(chosen), "g")
     )

@@ -15,7 +15,7 @@ def upper_caps(df: DataFrame, columns: Sequence[str], share: float) -> DataFrame
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "metric", "value"
     )
-    caps = quantile_of_few(long, "value", share, "metric")
+    caps = quantile_of_few(long, "value", share, "metric", columns)
     return caps.agg(
         *[F.max(F.when(F.col("metric") == c, F.col("value"))).alias(c) for c in columns]
     )

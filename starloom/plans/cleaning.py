@@ -78,9 +78,17 @@ def repair_order_items(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_order_items(raw: DataFrame, cap_share: float = 0.99) -> DataFrame:
-    """Repair, winsorize price and freight, and add the item's total cost."""
-    capped = winsorize(repair_order_items(raw), ["price", "freight_value"], cap_share)
+def clean_order_items(
+    raw: DataFrame, cap_share: float = 0.99, products: DataFrame | None = None
+) -> DataFrame:
+    """Repair, winsorize price and freight, and add the item's total cost.
+
+    With ``products``, prices that are not valid are filled from the category first.
+    """
+    repaired = repair_order_items(raw)
+    if products is not None:
+        repaired = repair_prices_from_category(repaired, products)
+    capped = winsorize(repaired, ["price", "freight_value"], cap_share)
     return with_total_cost(capped)
 
 
@@ -190,12 +198,10 @@ def clean_reviews(raw: DataFrame) -> DataFrame:
 
 def clean_geolocation(raw: DataFrame) -> DataFrame:
     """One centroid per zip, state and city, from distinct coordinates."""
-    prefix = "geolocation_"
-    distinct = dedup_by_key(
-        raw.select(*[prefix + n for n in ("zip_code_prefix", "lat", "lng", "state", "city")]),
-        [prefix + n for n in ("zip_code_prefix", "lat", "lng")],
-        [prefix + n for n in ("state", "city")],
-    )
-    return distinct.groupBy(*[prefix + n for n in ("zip_code_prefix", "state", "city")]).agg(
-        *[c.mean_coordinate(prefix + n).alias(prefix + n) for n in ("lat", "lng")]
+    # The columns of the table.
+    place = ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"]
+    names = ["geolocation_state", "geolocation_city"]
+    distinct = dedup_by_key(raw.select(*place, *names), place, names)
+    return distinct.groupBy(place[0], *names).agg(
+        *[c.mean_coordinate(at).alias(at) for at in place[1:]]
     )

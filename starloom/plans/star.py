@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import exact_sum
+from starloom.operators.dedup import require_unique
 from starloom.operators.joins import HotKeys, left_join_chain
 from starloom.plans import cleaning
 
@@ -89,6 +90,7 @@ def fact_orders(
     payments: DataFrame,
     reviews: DataFrame,
     hot: HotKeys | None = None,
+    score: str = "mean",
 ) -> DataFrame:
     """One row per order item, with its order's columns, payments and reviews.
 
@@ -96,7 +98,7 @@ def fact_orders(
     Payments and reviews are aggregated before they are joined, so every order
     contributes one row, and all four inputs are shuffled once, on the order.
     """
-    rights = [orders, payments_per_order(payments), reviews_per_order(reviews)]
+    rights = [orders, payments_per_order(payments), reviews_per_order(reviews, score)]
     joined = left_join_chain(items, rights, "order_id", hot)
     return cleaning.with_revenue(joined).select(*FACT_COLUMNS)
 
@@ -123,11 +125,23 @@ class Star:
     """The tables of the star schema over a set of raw tables.
 
     ``raw`` maps table names (see ``starloom.sources.raw``) to DataFrames; the
-    translation may be missing.  A table is planned when it is first asked for.
+    translation may be missing.  A table is planned when it is first asked for; products
+    and the fact run jobs then, for medians, hot keys and the uniqueness of orders.
+
+    ``photos="mode"`` fills photo counts with the category's most frequent value,
+    ``score="latest"`` takes an order's last review, and ``repair_prices`` gives items
+    without a valid price the median of their category before prices are capped.
     """
 
-    def __init__(self, raw: Mapping[str, DataFrame]):
-        self.raw = raw
+    def __init__(
+        self,
+        raw: Mapping[str, DataFrame],
+        photos: str = "median",
+        score: str = "mean",
+        repair_prices: bool = False,
+    ):
+        self.raw, self.photos, self.score = raw, photos, score
+        self.repair_prices = repair_prices
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -135,7 +149,8 @@ class Star:
 
     @cached_property
     def items(self) -> DataFrame:
-        return cleaning.clean_order_items(self.raw["order_items"])
+        products = self.dim_products if self.repair_prices else None
+        return cleaning.clean_order_items(self.raw["order_items"], products=products)
 
     @cached_property
     def dim_customers(self) -> DataFrame:
@@ -144,7 +159,7 @@ class Star:
     @cached_property
     def dim_products(self) -> DataFrame:
         return cleaning.clean_products(
-            self.raw["products"], self.raw.get("category_translation")
+            self.raw["products"], self.raw.get("category_translation"), self.photos
         )
 
     @cached_property
@@ -169,4 +184,7 @@ class Star:
 
     @cached_property
     def fact_orders(self) -> DataFrame:
-        return fact_orders(self.orders, self.items, self.dim_payments, self.dim_reviews)
+        orders = require_unique(self.orders, ["order_id"], "orders")
+        return fact_orders(
+            orders, self.items, self.dim_payments, self.dim_reviews, score=self.score
+        )

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators.dedup import dedup_by_key, duplicate_keys
+from starloom.operators.dedup import dedup_by_key, duplicate_keys, require_unique
 from starloom.operators.joins import HotKeys, hot_keys, left_join_chain, lookup_join, small_copy
 from tests.conftest import plan, rows, unordered
 
@@ -85,3 +85,12 @@ def test_dedup_by_all_orders(spark):
     df = spark.createDataFrame([(1, 2, 3), (1, 1, 9)], "k int, a int, b int")
     assert rows(dedup_by_key(df, ["k"])) == [(1, 1, 9)]
     assert rows(dedup_by_key(df, ["k"], ["b"])) == [(1, 2, 3)]
+
+
+def test_a_key_that_is_not_unique_raises(skewed, rights):
+    twice = rights[0].union(rights[0])
+    with pytest.raises(ValueError, match="not unique"):
+        left_join_chain(skewed, [twice], "k", HotKeys([7], False))
+    with pytest.raises(ValueError, match="must be unique"):
+        require_unique(twice, ["k"], "rights")
+    assert require_unique(rights[0], ["k"], "rights") is rights[0]

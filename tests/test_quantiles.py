@@ -44,7 +44,7 @@ def sampled(spark):
 def test_matches_brute_force(sampled, percent, way):
     share = percent / 100
     if way == "few":
-        found = quantile_of_few(sampled, "v", share, "g")
+        found = quantile_of_few(sampled, "v", share, "g", list(samples()))
     else:
         found = group_quantile(sampled, "v", share, "g", 100 if way == "counted" else 2)
     expected = {g: brute(v, percent) for g, v in samples().items()}
@@ -55,7 +55,7 @@ def test_matches_brute_force(sampled, percent, way):
 @given(st.lists(st.floats(allow_nan=False), min_size=1, max_size=60), st.integers(1, 100))
 def test_any_doubles(spark, values, percent):
     df = spark.createDataFrame([("a", v) for v in values], "g string, v double")
-    assert rows(quantile_of_few(df, "v", percent / 100, "g")) == [("a", brute(values, percent))]
+    assert rows(quantile_of_few(df, "v", percent / 100, "g", ["a"])) == [("a", brute(values, percent))]
 
 
 def test_caps(spark):

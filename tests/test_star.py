@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from checks.standin import RawTables
 from starloom import build
+from starloom.operators import joins
+from starloom.operators.impute import fill_group_median
+from starloom.operators.joins import hot_keys
 from starloom.plans import business, quality
 from starloom.plans.cleaning import clean_geolocation, clean_products
 from starloom.plans.star import FACT_COLUMNS, HotKeys, Star, date_dimension, fact_orders
@@ -50,6 +53,34 @@ def test_hot_orders_do_not_change_the_fact(star, stored_fact):
     assert unordered(fact_orders(*args, hot=HotKeys(some, True))) == unordered(stored_fact)
 
 
+def test_hot_orders_are_found_and_do_not_change_the_fact(star, stored_fact, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 7)
+    assert hot_keys(star.items, "order_id").values
+    fresh = Star(star.raw)
+    assert unordered(fresh.fact_orders) == unordered(stored_fact)
+
+
+def test_repeated_orders_raise(spark, star):
+    raw = RawTables(spark, DATA)
+    again = Star({name: raw[name] for name in ("orders", "order_items", "payments", "reviews")})
+    again.orders = star.orders.union(star.orders)
+    with pytest.raises(ValueError, match="must be unique"):
+        again.fact_orders
+
+
+def test_all_medians_come_from_the_same_passes(spark):
+    data = [("a", 1, 4.0), ("a", 3, None), ("a", None, 2.0), ("b", None, 7.5), (None, None, 1.0), ("c:1", 5, None)]
+    df = spark.createDataFrame(data, "g string, n int, x double")
+    filled = fill_group_median(df, ["n", "x"], "g")
+    assert filled.schema == df.schema
+    assert unordered(filled) == unordered(
+        spark.createDataFrame(
+            [("a", 1, 4.0), ("a", 3, 2.0), ("a", 1, 2.0), ("b", None, 7.5), (None, None, 1.0), ("c:1", 5, None)],
+            "g string, n int, x double",
+        )
+    )
+
+
 def test_fact_shuffles_each_input_once(star, no_broadcast):
     tables = {n: stage(getattr(star, n), n) for n in ("orders", "items", "dim_payments", "dim_reviews")}
     text = plan(fact_orders(*tables.values(), hot=HotKeys([], False)))

@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,7 +40,8 @@ CLOSED_BY = {
 }
 SCOPES = frozenset("table ul ol dl article main section body html td th div blockquote".split())
 
-#: Words in class names, ids and roles that mark what is not the article.
+#: Words that mark what is not the article.  A class name, id or role has to
+#: consist of them, but for words of place and form, or to end in one that says it alone.
 SIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo "
     "promotion sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead comment "
@@ -49,6 +51,19 @@ SIDE_WORDS = frozenset(
     "contentinfo search banner hidden".split()
 )
 HEAD_WORDS = frozenset(["header", "banner"])
+PLAIN_WORDS = frozenset(
+    "area aside bar bottom box button buttons container desktop fixed form global group icon icons "
+    "inline inner item items js left link links list mobile outer panel posts primary right row "
+    "secondary section site slot sticky title top unit wrap wrapper zone".split()
+)
+LAST_WORDS = frozenset(
+    "advert adverts advertisement advertising adsense adslot sidebar navbar navigation breadcrumb "
+    "breadcrumbs comments commentlist disqus newsletter pagination pager".split()
+)
+#: Words that make a name one of the page's layout, and what readers may write at length.
+LAYOUT_WORDS = frozenset("has have with without no not is hide overflow backface".split())
+HIDDEN_NAMES = frozenset(["hidden", "visually-hidden", "visuallyhidden", "is-hidden"])
+READER_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
 BODY_WORDS = frozenset("article content entry post story text main body".split())
 
 _TOKEN = re.compile(
@@ -61,6 +76,8 @@ _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 
+#: Share of the running text from which on an element is the article, whatever its name.
+MOST = 2 / 3
 PATH_STEPS = 8
 LEVEL_SHARE = 0.95
 VOTES_PER_PAGE = 3
@@ -68,12 +85,28 @@ WINNERS = 3
 FIT = 0.3
 
 
+@lru_cache(maxsize=1 << 14)
+def side_name(name: str, inside: bool) -> tuple[bool, bool]:
+    """Whether a class name, id or role marks what is not the article, and whether that is
+    something readers write.  ``inside``: of an article, whose own header belongs to it."""
+    if name.lower() in HIDDEN_NAMES:
+        return True, False
+    words = [w.lower() for w in _NAME_WORD.findall(name)]
+    if not words or words[-1] == "hidden" or LAYOUT_WORDS.intersection(words):
+        return False, False
+    marks = SIDE_WORDS if inside else SIDE_WORDS | HEAD_WORDS
+    found = marks.intersection(words)
+    side = bool(found) and (words[-1] in LAST_WORDS or found | PLAIN_WORDS >= set(words))
+    return side, side and bool(found & READER_WORDS)
+
+
 class Page:
     """A page as a list of elements, each with its parent, and text blocks in order."""
 
     def __init__(self, source: str):
         self.parent, self.tag, self.path, self.side = [-1], ["#root"], [()], [False]
         self.soft_side: list[bool] = [False]
+        self.by_readers: list[bool] = [False]
         self.blocks: list[tuple[int, str, int]] = []
         self._buffer: list[str] = []
         self._linked = 0
@@ -84,9 +117,8 @@ class Page:
         given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
         classes = html.unescape(given.get("class", ""))
         named = f"{classes} {html.unescape(given.get('id', ''))} {given.get('role', '')}"
-        words = {w.lower() for w in _NAME_WORD.findall(named)}
         inside = any(self._inside)
-        soft = bool(words & SIDE_WORDS) or (not inside and bool(words & HEAD_WORDS))
+        marks = [side_name(name, inside) for name in named.split()]
         hard = (
             tag in NEVER_TEXT
             or (tag == "header" and not inside)
@@ -101,7 +133,9 @@ class Page:
         self.tag.append(tag)
         self.path.append((*self.path[parent], step)[-PATH_STEPS:] if tag not in ("html", "body") else ())
         self.side.append(hard)
-        self.soft_side.append(soft and tag not in ("html", "body", "main", "article"))
+        named_side = tag not in ("html", "body", "main", "article")
+        self.soft_side.append(named_side and any(side for side, _ in marks))
+        self.by_readers.append(named_side and any(readers for _, readers in marks))
         return len(self.tag) - 1
 
     def _flush(self, node: int) -> None:
@@ -193,16 +227,47 @@ class Page:
             node = self.parent[node]
         return node
 
+    def _is_body(self, node: int) -> bool:
+        """Whether an element is named as the article, or as what holds it."""
+        if self.tag[node] in ("article", "main") or self.tag[node] not in CONTAINERS:
+            return self.tag[node] in ("article", "main")
+        steps = self.path[node][-1:]
+        names = [set(_NAME_WORD.findall(c)) for step in steps for c in step.split(".")[1:]]
+        return any(n & BODY_WORDS and n <= BODY_WORDS | PLAIN_WORDS for n in names)
+
     def _settle(self) -> None:
-        """What a side name covers is left out, unless an article lies within."""
+        """What a side name covers is left out, unless an article lies within, or most of
+        the page's running text and no article besides, or nothing would be left."""
         holds = [t in ("article", "main") for t in self.tag]
         for node in range(len(self.tag) - 1, 0, -1):
             if holds[node] and not self.side[node]:
                 holds[self.parent[node]] = True
+        hard, readers = self.side, self.by_readers
         for node in range(1, len(self.tag)):
-            own = self.side[node] or (self.soft_side[node] and not holds[node])
-            self.side[node] = own or self.side[self.parent[node]]
-        self.blocks = [b for b in self.blocks if not self.side[b[0]]]
+            hard[node] = hard[node] or hard[self.parent[node]]
+            readers[node] = not holds[node] and (readers[node] or readers[self.parent[node]])
+        given = [b for b in self.blocks if not hard[b[0]]]
+        if any(self.soft_side):
+            running, bodies = [0.0] * len(self.tag), [0.0] * len(self.tag)
+            body = [0] * len(self.tag)
+            for node in range(1, len(self.tag)):
+                body[node] = body[self.parent[node]] or (node if self._is_body(node) else 0)
+            for node, text, linked in given:
+                if not readers[node]:
+                    share = max(0.0, len(text) - 2.0 * linked)
+                    running[node] += share
+                    bodies[node] += share if body[node] else 0.0
+            for node in range(len(self.tag) - 1, 0, -1):
+                running[self.parent[node]] += running[node]
+                bodies[self.parent[node]] += bodies[node]
+            self.side = hard[:]
+            for node in range(1, len(self.tag)):
+                most = 0 < running[node] >= MOST * running[0] and bodies[body[node] or node] >= bodies[0]
+                own = hard[node] or (self.soft_side[node] and not holds[node] and not most)
+                self.side[node] = own or self.side[self.parent[node]]
+        self.blocks = [b for b in given if not self.side[b[0]]]
+        if not self.blocks:
+            self.blocks, self.side = given, hard
         score = [0.0] * len(self.tag)
         for node, text, linked in self.blocks:
             score[node] += max(0.0, len(text) - 2.0 * linked)

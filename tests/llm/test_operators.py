@@ -467,6 +467,30 @@ def test_main_text(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "name", ["overflow-hidden", "content with-sidebar", "no-sidebar", "hasSidebar", "social-studies", "post-alert",
+             "social", "notice"],
+)
+def test_side_words_in_layout_names_keep_the_text(name):
+    lead, body = "A lead of the article, a whole sentence.", prose(4, 60)
+    for outer in ("article", "div"):
+        inner = f"<p>{lead}</p><p>{body}</p><div class='share-buttons'>Tell all</div><div id=comments>{prose(5, 400)}</div>"
+        page = f"<body><{outer}><div class='{name}'>{inner}</div></{outer}></body>"
+        assert html_text.Page(page).text([]) == f"{lead}\n{body}"
+
+
+def test_side_names_still_name_sides():
+    for name in ("ad", "ad-slot-3", "cookie-notice", "article-comments", "leftSidebar", "site-header", "hidden"):
+        page = f"<body><div class=x><p>{prose(4, 60)}</p><div class='{name}'>Not of it</div></div></body>"
+        assert html_text.Page(page).text([]) == prose(4, 60)
+    for outer in ("article", "div class=post"):
+        short = f"<body><div class=ad>{prose(3, 30)}</div><{outer}><h1>One word</h1></{outer.split()[0]}></body>"
+        assert html_text.Page(short).text([]) == "One word"
+    # Of a page with nothing but sides, the texts come back.
+    only = f"<body><div class=ad>{prose(1, 9)}</div><div class=promo>{prose(2, 9)}</div><nav>menu</nav></body>"
+    assert html_text.Page(only).text([]) == f"{prose(1, 9)}\n{prose(2, 9)}"
+
+
 def test_calibration_gives_shares():
     r = np.random.default_rng(2)
     scores = r.standard_normal(4000) * 3

@@ -3,7 +3,7 @@
 First every page scores its containers by the running text in them.  The containers'
 generalised paths (tags and classes from the root, numbers in class names levelled) get
 votes, summed per host in Spark.  Then every page is extracted again from the host's
-winning paths; a page to which none of them fits falls back to its own best container.
+winning path that covers its own best container; without one that container is taken.
 """
 
 from __future__ import annotations
@@ -82,7 +82,12 @@ PATH_STEPS = 8
 LEVEL_SHARE = 0.95
 VOTES_PER_PAGE = 3
 WINNERS = 3
-FIT = 0.3
+#: Share of the running text of a page's own best container that a winning path has to cover.
+FIT = 0.9
+#: Text right inside a container is running text from so many characters on.
+RUNNING = 40
+HEADINGS = {f"h{k}": k for k in range(1, 7)}
+NO_HEADING = 7
 
 
 @lru_cache(maxsize=1 << 14)
@@ -280,6 +285,55 @@ class Page:
             elif self.path[node] and BODY_WORDS & set(_NAME_WORD.findall(self.path[node][-1])[1:]):
                 score[node] *= 1.1
         self.score = score
+        self._weigh()
+
+    def _weigh(self) -> None:
+        """Running text and highest heading of each element with all below it, the headings
+        in order, and the running text right inside a container, with none between."""
+        size = len(self.tag)
+        self.running, self.heading, self.beside = [0.0] * size, [NO_HEADING] * size, [0.0] * size
+        self.near, self.rank, self.last = list(range(size)), [NO_HEADING] * size, list(range(size))
+        self.titles: list[int] = []
+        for node in range(1, size):
+            up = self.parent[node]
+            if self.tag[node] not in CONTAINERS:
+                self.near[node] = self.near[up]
+            self.rank[node] = HEADINGS.get(self.tag[node], self.rank[up])
+        for node, text, linked in self.blocks:
+            share = max(0.0, len(text) - 2.0 * linked)
+            self.running[node] += share
+            self.heading[node] = self.rank[node]
+            if share >= RUNNING:
+                self.beside[self.near[node]] += share
+            if self.rank[node] < NO_HEADING:
+                self.titles.append(node)
+        for node in range(size - 1, 0, -1):
+            up = self.parent[node]
+            self.running[up] += self.running[node]
+            self.heading[up] = min(self.heading[up], self.heading[node])
+            self.last[up] = max(self.last[up], self.last[node])
+
+    def outer(self, node: int) -> int:
+        """The container around ``node`` that has what belongs to it: a title before it and
+        running text right beside it; within an article's body, all running text."""
+        up = node
+        while up > 0:
+            up = self.parent[up]
+            if up > 0 and self.tag[up] not in CONTAINERS:
+                continue
+            # An article with a heading ends what belongs together, but for its title.
+            whole = self.tag[node] in ("article", "main") and self.heading[node] < NO_HEADING
+            body = not whole and self._is_body(up)
+            title = any(
+                up < h < node
+                and self.rank[h] < self.heading[node]
+                and (body or self.near[h] == up or self.heading[node] == NO_HEADING)
+                for h in self.titles
+            )
+            more = self.running[up] > self.running[node] if body else self.beside[up] > 0
+            if title or (more and not whole):
+                node = up
+        return node
 
     def candidates(self) -> list[tuple[float, int]]:
         """Containers with text, best first; of equal ones the outer."""
@@ -292,8 +346,12 @@ class Page:
 
     def votes(self) -> list[tuple[str, float]]:
         best: dict[str, float] = {}
+        seen: set[tuple[str, ...]] = set()
         for score, node in self.candidates():
-            path = ">".join(self.path[node])
+            if self.path[node] in seen:
+                continue
+            seen.add(self.path[node])
+            path = ">".join(self.path[self.outer(node)])
             best[path] = max(best.get(path, 0.0), score)
             if len(best) == VOTES_PER_PAGE:
                 break
@@ -305,17 +363,36 @@ class Page:
         found = self.candidates()
         if not found:
             return "\n".join(text for _, text, _ in self.blocks)
-        best_score, best = found[0]
-        chosen = {best}
+        best = self.outer(found[0][1])
+        own = self._inside_of({best})
+        chosen = own
         for path in winners:
-            on_path = [n for _, n in found if ">".join(self.path[n]) == path]
-            if on_path and sum(self.score[n] for n in on_path) >= FIT * best_score:
-                chosen = set(on_path)
+            on_path, end = set(), -1
+            for n in sorted(n for _, n in found if ">".join(self.path[n]) == path):
+                if n > end:
+                    on_path.add(outer := self.outer(n))
+                    end = self.last[outer]
+            if on_path and self._covers(within := self._inside_of(on_path), own, best):
+                chosen = within
                 break
-        within = [n in chosen for n in range(len(self.tag))]
+        return "\n".join(text for node, text, _ in self.blocks if chosen[node])
+
+    def _inside_of(self, nodes: set[int]) -> list[bool]:
+        within = [n in nodes for n in range(len(self.tag))]
         for node in range(1, len(self.tag)):
             within[node] = within[node] or within[self.parent[node]]
-        return "\n".join(text for node, text, _ in self.blocks if within[node])
+        return within
+
+    def _covers(self, within: list[bool], own: list[bool], best: int) -> bool:
+        """Whether nearly all running text of the own best container is covered, and its
+        highest headings are."""
+        covered, lost = 0.0, NO_HEADING
+        for node, text, linked in self.blocks:
+            if own[node] and within[node]:
+                covered += max(0.0, len(text) - 2.0 * linked)
+            elif own[node]:
+                lost = min(lost, self.rank[node])
+        return covered >= FIT * self.running[best] and (lost == NO_HEADING or lost > self.heading[best])
 
 
 def host_of(url):

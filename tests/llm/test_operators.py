@@ -491,6 +491,33 @@ def test_side_names_still_name_sides():
     assert html_text.Page(only).text([]) == f"{prose(1, 9)}\n{prose(2, 9)}"
 
 
+def test_a_winning_path_leaves_out_no_part_of_the_article():
+    teaser, rest = prose(1, 40), prose(2, 70)
+    page = f"<body><div class=wrap><div class=story><p>{teaser}</p></div><div class=more><p>{rest}</p></div></div></body>"
+    assert html_text.Page(page).text(["div.wrap>div.story"]) == f"{teaser}\n{rest}"
+    # What leaves out little still wins over a container that is too wide.
+    wide = f"<body><div class=wrap><div class=a1><p>{prose(3, 300)}</p></div><div class=x><p>{prose(4, 24)}</p></div></div></body>"
+    assert html_text.Page(wide).text([]) == f"{prose(3, 300)}\n{prose(4, 24)}"
+    assert html_text.Page(wide).text(["div.wrap>div.a#"]) == prose(3, 300)
+
+
+@pytest.mark.parametrize("outer, inner", [("post", "entry"), ("c12", "entry"), ("c12", "c13"), ("post", "c13")])
+def test_titles_and_leads_stay_however_long_the_text(outer, inner):
+    pages = []
+    for k, words in enumerate((12, 40, 900)):
+        lead = "A lead of the story, which is one whole sentence."
+        body = f"{prose(k, words)}\n{prose(k + 9, 2)}\n{prose(k + 20, words)}"
+        inside = "<p>%s</p><h2>%s</h2><p>%s</p>" % tuple(body.split("\n"))
+        page = f"<body><div id=top><a href=/>Site</a></div><div class={outer}><h1>Title</h1><p>{lead}</p><div class={inner}>{inside}</div></div></body>"
+        pages.append((html_text.Page(page), f"Title\n{lead}\n{body}"))
+    ranked = Counter()
+    for page, _ in pages:
+        ranked.update(dict(page.votes()))
+    for page, text in pages:
+        assert page.text([path for path, _ in ranked.most_common(3)]) == text
+        assert page.text([f"div.{outer}>div.{inner}"]) == text
+
+
 def test_calibration_gives_shares():
     r = np.random.default_rng(2)
     scores = r.standard_normal(4000) * 3

@@ -7,7 +7,9 @@ share their sampled position, so a bucket's member is a run of windows with the
 cover.  Runs equal as a whole are settled by their hash.  The rest is refined within the
 bucket: positions are sorted on the pair of their own bucket's number and that of a later
 offset, the new numbers are used for the next, longer offset, and members that are alone
-drop out, until buckets stand for ``length`` equal bytes.
+drop out, until buckets stand for ``length`` equal bytes.  A bucket too large for that, of a
+passage that very many texts have with other text around it, is dealt out as windows, which
+are counted by their hashes with partial sums.
 """
 
 from __future__ import annotations
@@ -28,6 +30,9 @@ from starloom.sources.scratch import Workspace
 GRAM = 64
 HOT_BUCKET = 5_000
 BATCH_BYTES = 4 << 20
+#: A bucket is refined inside a task up to so many bytes of content; a larger one is counted
+#: window by window all over the cluster.
+BUCKET_BYTES = 4 << 20
 
 #: A place packs a run: its first window, its length and its sampled position, and whether
 #: the run was met before among the rows of the same task.
@@ -295,6 +300,54 @@ def refined_spans(dealt: DataFrame, length: int, gram: int) -> DataFrame:
     return dealt.mapInArrow(run, "k1 bigint, k2 bigint, lo bigint, hi bigint")
 
 
+def windows(large: DataFrame, length: int) -> DataFrame:
+    """(w1, w2, k1, k2, lo): each window of contents under a hash of 128 bits, of which
+    one half stands for the bucket and the first part of the window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for given in batches:
+            # A content has some hundred windows.
+            for begin in range(0, given.num_rows, 500):
+                batch = given.slice(begin, 500)
+                sizes = batch.column(5).to_numpy().astype(np.int64)
+                data = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8)
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                nth = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                at = nth + np.repeat(np.cumsum(sizes + length - 1) - (sizes + length - 1), sizes)
+                prefix = t.prefix_hash(data)
+                whole = t.span_hash(prefix, at, at + length)
+                part = t.span_hash(prefix, at, at + length // 2)
+                part = t.mix(part + batch.column(0).to_numpy().view(np.uint64)[row])
+                lo = batch.column(3).to_numpy()[row] + nth
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part.view(np.int64)), pa.array(whole.view(np.int64)),
+                     pa.array(batch.column(1).to_numpy()[row]), pa.array(batch.column(2).to_numpy()[row]), pa.array(lo)],
+                    ["w1", "w2", "k1", "k2", "lo"],
+                )
+
+    given = large.select("bucket", "k1", "k2", "lo", "content", "count")
+    return given.mapInArrow(run, "w1 bigint, w2 bigint, k1 bigint, k2 bigint, lo bigint")
+
+
+def counted_spans(large: DataFrame, length: int, work: Workspace) -> DataFrame:
+    """(k1, k2, lo, hi): repeated bytes of large buckets, found by counting windows.
+
+    Windows met very often are few and are looked up by broadcast, the others by shuffle,
+    so no task has all places of one window.
+    """
+    each = windows(large, length)
+    found = work.stage(
+        each.groupBy(F.col("w1").alias("c1"), F.col("w2").alias("c2")).count().filter("count > 1"),
+        "counted",
+    )
+    same = (F.col("w1") == F.col("c1")) & (F.col("w2") == F.col("c2"))
+    often, seldom = found.filter(F.col("count") > HOT_BUCKET), found.filter(F.col("count") <= HOT_BUCKET)
+    places = each.join(F.broadcast(often), same).select("k1", "k2", "lo").union(
+        each.join(F.broadcast(often), same, "left_anti").join(seldom, same).select("k1", "k2", "lo")
+    )
+    return places.select("k1", "k2", "lo", (F.col("lo") + length).alias("hi"))
+
+
 class RepeatedBytes:
     """Bytes of the documents that lie in a string of ``length`` bytes found elsewhere.
 
@@ -319,16 +372,26 @@ class RepeatedBytes:
                 "k1", "k2", F.shiftright("place", 2).alias("lo"), F.col("whole").alias("hi")
             )
         )
-        dealt = contents(self._wanted(settled), length, gram)
+        given = work.stage(contents(self._wanted(settled), length, gram), "contents")
+        size = F.sum(F.length("content").cast("bigint"))
+        large = work.stage(
+            given.groupBy(F.col("bucket").alias("of")).agg(size.alias("size")).filter(F.col("size") > BUCKET_BYTES),
+            "large",
+        )
+        own = F.col("bucket") == F.col("of")
+        dealt = given.join(F.broadcast(large), own, "left_anti")
         dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
+        refined = refined_spans(dealt, length, gram)
+        if not large.isEmpty():
+            refined = refined.union(counted_spans(given.join(F.broadcast(large), own, "left_semi"), length, work))
         self.spans = work.stage(
-            covers.union(refined_spans(dealt, length, gram)).distinct()
+            covers.union(refined).distinct()
             .groupBy("k1", "k2")
             .agg(F.collect_list("lo").alias("los"), F.collect_list("hi").alias("his"))
             .withColumnsRenamed({"k1": "s1", "k2": "s2"}),
             "spans",
         )
-        work.drop("runs", "settled", "wanted", "hot")
+        work.drop("runs", "settled", "wanted", "hot", "contents", "large", "counted")
 
     def _keys(self) -> tuple[Column, Column]:
         return text_key(F.coalesce(F.col(f"`{self.text}`"), F.lit("")))

@@ -431,6 +431,33 @@ def test_repeated_bytes_equal_brute_force(spark, monkeypatch, piece, hot):
     assert {tuple(r) for r in got} == expected
 
 
+@pytest.mark.parametrize("often", [0, 3, 5000])
+def test_large_buckets_never_meet_in_one_task(spark, monkeypatch, often):
+    """A passage that all documents share, each with other text before and after it."""
+    length, bound, refined = 60, 3000, suffix_dedup.refined_spans
+
+    def bounded(dealt, *more):
+        sizes = dealt.groupBy("bucket").agg(F.sum(F.length("content")).alias("size"))
+        assert sizes.filter(F.col("size") > bound).isEmpty()
+        return refined(dealt, *more)
+
+    monkeypatch.setattr(suffix_dedup, "refined_spans", bounded)
+    monkeypatch.setattr(suffix_dedup, "HOT_BUCKET", often)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", bound, raising=False)
+    shared, other = prose(1, 20), prose(2, 16)
+    texts = [prose(50 + k, 5) + shared[: 90 - k % 4] + prose(150 + k, 5 + k % 3) for k in range(80)]
+    texts += [prose(300 + k, 15) + other + prose(310 + k, 15) for k in range(3)] + ["", None]
+    got = suffix_dedup.RepeatedBytes(documents(spark, texts), length=length, gram=20).report().collect()
+    data = [(x or "").encode() for x in texts]
+    count = Counter(d[k : k + length] for d in data for k in range(len(d) - length + 1))
+    for r in got:
+        d = data[r.doc_id]
+        gone = {k + i for k in range(len(d) - length + 1) if count[d[k : k + length]] > 1 for i in range(length)}
+        kept = bytes(b for k, b in enumerate(d) if k not in gone)
+        assert (r.n_removed, r.kept_sha256) == (len(gone), hashlib.sha256(kept).hexdigest())
+    assert len(got) == len(texts) and sum(r.n_removed for r in got) > 80 * length
+
+
 def test_cleaned_documents_keep_their_columns(spark):
     docs = documents(spark, [prose(1, 80), "x " + prose(1, 80), None], ids=[1, None, 2])
     got = suffix_dedup.RepeatedBytes(docs).cleaned().collect()

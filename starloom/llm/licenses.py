@@ -4,11 +4,14 @@ Sparse word n-grams (1 to 3) of a paragraph go through a softmax regression over
 families and ``none``.  It is trained on variations of the families' templates and on a
 bounded sample of the corpus's own paragraphs.  Probabilities are tempered on held-out
 rows; below the level that keeps held-out ``none`` rows out, the family is ``unknown``.  A
-prediction is confirmed by comparing the paragraph with the family's templates.
+prediction is confirmed by comparing the paragraph with the family's templates.  A notice
+wrapped over lines is compared as a whole: lines that follow each other and stand in one
+template are joined.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -60,6 +63,8 @@ COPIES = 60
 BITS = 15
 GRAMS = 3
 CONFIRM = 0.6
+#: Share of a line's word pairs that a template must have for the line to be a piece of it.
+PIECE = 0.5
 
 
 def paragraphs(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -110,6 +115,72 @@ class Families:
         return float(max(shares, default=0.0))
 
 
+    def wrapped(
+        self, row: np.ndarray, number: np.ndarray, hashes: np.ndarray, spans: np.ndarray
+    ) -> dict[int, tuple[str, float, float]]:
+        """Family, probability and similarity of lines that state a licence together with
+        the lines next to them."""
+        every = np.unique(np.concatenate([p for known in self.templates.values() for p in known]))
+        if len(spans) < 2:
+            return {}
+        hits = np.concatenate(([0], np.cumsum(np.isin(gram_hashes(hashes, 2), every)), [0]))
+        hits[-1] = hits[-2]
+        a, b = spans[:, 0], spans[:, 1]
+        near = hits[np.maximum(b - 1, a)] - hits[a] >= PIECE * (b - 1 - a)
+        after = np.flatnonzero(near[1:] & near[:-1] & (row[1:] == row[:-1]) & (number[1:] == number[:-1] + 1)) + 1
+        found: dict[int, tuple[str, float, float]] = {}
+        for group in np.split(after, np.flatnonzero(np.diff(after) > 1) + 1) if len(after) else []:
+            lines = range(int(group[0]) - 1, int(group[-1]) + 1)
+            for family, known in self.templates.items():
+                for pairs in known:
+                    self._join(lines, family, pairs, hashes, spans, found)
+        return found
+
+    def _join(self, lines, family, pairs, hashes, spans, found) -> None:
+        """Puts into ``found`` the lines, of neighbouring ones, that state one template."""
+        run: list[int] = []
+        for k in [*lines, None]:
+            if k is not None:
+                own = gram_hashes(hashes[spans[k, 0] : spans[k, 1]], 2)
+                hit = np.isin(own, pairs)
+                # A line that states the template alone needs no neighbours.
+                alone = len(own) and np.isin(pairs, own).mean() >= CONFIRM
+                if not alone and (not len(own) or hit.mean() >= PIECE):
+                    run.append(k)
+                    continue
+            if len(run) > 1:
+                # Lines at either end that add nothing to the template are not of it.
+                base = spans[run[0], 0]
+                grams = gram_hashes(hashes[base : spans[run[-1], 1]], 2)
+                at = np.flatnonzero(np.isin(grams, pairs))
+                values, left = grams[at].tolist(), Counter(grams[at].tolist())
+                share = len(left) / max(len(pairs), 1)
+                i, j, first, last = 0, len(at), 0, len(run) - 1
+                while first < last:
+                    end = i
+                    while end < j and at[end] < spans[run[first], 1] - base:
+                        end += 1
+                    if any(left[v] <= n for v, n in Counter(values[i:end]).items()):
+                        break
+                    left.subtract(values[i:end])
+                    i, first = end, first + 1
+                while first < last:
+                    begin = j
+                    while begin > i and at[begin - 1] + 1 >= spans[run[last], 0] - base:
+                        begin -= 1
+                    if any(left[v] <= n for v, n in Counter(values[begin:j]).items()):
+                        break
+                    left.subtract(values[begin:j])
+                    j, last = begin, last - 1
+                if last > first and share >= CONFIRM:
+                    words = hashes[spans[run[first], 0] : spans[run[last], 1]]
+                    sure = float(self.probabilities([features(words)])[0, self.names.index(family)])
+                    for line in run[first : last + 1]:
+                        if share > found.get(line, ("", 0.0, 0.0))[2]:
+                            found[line] = family, sure, share
+            run = []
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -183,7 +254,10 @@ def train(documents: DataFrame, text: str = "text", sample: int = SAMPLE_PARAGRA
         F.col("line").rlike(r"[^\x20\x09-\x0D]")
     )
     # The sample is bounded in rows; its lines are whole.
-    picked = lines.select("line", F.xxhash64("line").alias("h")).orderBy("h", "line").limit(sample)
+    hashed = lines.select("line", F.xxhash64("line").alias("h"))
+    # Distinct lines, found by their hashes first: no shuffle carries all texts.
+    least = hashed.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    picked = hashed.filter(F.col("h") <= F.lit(least).cast("bigint")).distinct().orderBy("h", "line").limit(sample)
     return fit([_words(r["line"]) for r in picked.collect()])
 
 
@@ -205,13 +279,18 @@ def scan(documents: DataFrame, model: Families, key: str = "doc_id", text: str =
             for i, j in t.row_blocks(offsets):
                 row, number, hashes, spans = paragraphs(batch.column(1).slice(i, j - i))
                 words = [hashes[a:b] for a, b in spans.tolist()]
+                joined = model.wrapped(row, number, hashes, spans)
                 for at in range(0, len(words), 2000):
                     part = words[at : at + 2000]
                     p = model.probabilities([features(w) for w in part])
                     best = np.argmax(p[:, :-1], axis=1)
-                    for k in np.flatnonzero(p[:, -1] < 0.5):
+                    stated = p[:, -1] < 0.5
+                    stated[[k - at for k in joined if at <= k < at + len(part)]] = True
+                    for k in np.flatnonzero(stated):
                         family, sure = model.names[best[k]], float(p[k, best[k]])
                         alike = model.similarity(part[k], family)
+                        if alike < CONFIRM and at + k in joined:
+                            family, sure, alike = joined[at + k]
                         known = sure >= model.unknown_below
                         out.append(
                             (i + int(row[at + k]), int(number[at + k]), family if known else UNKNOWN,

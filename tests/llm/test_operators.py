@@ -128,6 +128,34 @@ def test_licenses(spark):
     assert licenses.scan(empty, licenses.train(empty)).count() == 0
 
 
+WRAPPED = {
+    "bsd": "Redistribution and use in source and binary forms, with or without\n"
+    "modification, are permitted provided that the following conditions\nare met:",
+    "gpl": " * This program is free software: you can redistribute it and/or modify\n"
+    " * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation",
+    "apache": "Licensed under the Apache License, Version 2.0 (the \"License\");\n"
+    "you may not use this file except in compliance with the License.",
+}
+
+
+def test_wrapped_notices_are_confirmed_line_by_line(spark):
+    texts = [prose(k, 60) + "\n" + prose(k + 100, 9) for k in range(60)]
+    for notice in WRAPPED.values():
+        texts.append(prose(7, 20) + "\n\n" + notice + "\n" + prose(8, 20))
+    docs = documents(spark, texts)
+    got = licenses.scan(docs, licenses.train(docs)).filter("confirmed").collect()
+    expected = {(60 + k, 2 + i, f) for k, (f, x) in enumerate(WRAPPED.items()) for i in range(x.count("\n") + 1)}
+    assert {(r.doc_id, r.paragraph, r.family) for r in got} == expected
+
+
+def test_the_sample_of_none_is_distinct(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(licenses, "fit", lambda negative: taken.append(len({w.tobytes() for w in negative})))
+    licenses.train(documents(spark, ["the same line"] * 300 + [prose(k, 9) for k in range(50)]), sample=51)
+    licenses.train(documents(spark, []))
+    assert taken == [51, 0]
+
+
 # --- 3 nearest neighbours ----------------------------------------------------------
 
 

@@ -7,12 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm import (
     ann,
+    fill_middle,
     html_text,
+    importance,
     licenses,
     mixing,
     near_dup,
     packing,
     quality_rules,
+    secret_scan,
     suffix_dedup,
     warc,
     weak_quality,
@@ -70,6 +73,28 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, targets = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.ImportanceDraw(documents, targets).ranked()
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.transformed(table(spark, sf_dir, "documents"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = secret_scan.train(secret_scan.labelled_samples(documents))
+    return secret_scan.report(secret_scan.scan(documents, model))
+
+
+def secret_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op13_secrets`` that base patterns alone decide."""
+    documents = table(spark, sf_dir, "documents")
+    found = secret_scan.report(secret_scan.scan(documents, secret_scan.fit([], [])))
+    return found.drop("spans")
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_licenses": op2_licenses,
@@ -81,4 +106,8 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_html_text": op9_html_text,
     "op10_quality_rules": op10_quality_rules,
+    "op11_importance": op11_importance,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_secrets": op13_secrets,
+    "secret_base_spans": secret_base_spans,
 }

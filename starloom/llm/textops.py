@@ -102,7 +102,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.flatnonzero(solid & ~before), np.flatnonzero(solid & ~after) + 1
 
 
-def _word_cut(data: np.ndarray, start: int, limit: int) -> int:
+def word_cut(data: np.ndarray, start: int, limit: int) -> int:
     """The end of a piece from ``start`` that does not cut a word."""
     end = start + limit
     while end < len(data):
@@ -126,7 +126,7 @@ def word_hashes(
         while True:
             end = stop
             if stop - start > 2 * PIECE_BYTES:
-                end = start + _word_cut(data[start:stop], 0, PIECE_BYTES)
+                end = start + word_cut(data[start:stop], 0, PIECE_BYTES)
             piece = data[start:end] if table is None else table[data[start:end]]
             bounds = np.clip(offsets[i : j + 1] - start, 0, end - start)
             starts, ends = word_spans(piece, bounds)

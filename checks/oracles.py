@@ -374,6 +374,34 @@ ORACLES: dict[str, str] = {
         "raw_items",
     ),
     "src_csv_multiline": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "src_csv_quarantine": """
+        WITH lines AS (
+            SELECT *, CASE WHEN l_orderkey % 97 = 0
+                THEN concat_ws(',', l_orderkey, l_linenumber, l_partkey, 'Rio', l_suppkey,
+                               '2018-01-01', l_linenumber, '1')
+                WHEN l_orderkey % 89 = 0
+                THEN concat_ws(',', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                               '2018-01-01 10:00:00') END AS refused
+            FROM lineitem)
+        SELECT CASE WHEN refused IS NULL THEN CAST(l_orderkey AS VARCHAR) END AS order_id,
+               CASE WHEN refused IS NULL THEN l_linenumber END AS order_item_id,
+               CASE WHEN refused IS NULL THEN CAST(l_partkey AS VARCHAR) END AS product_id,
+               CASE WHEN refused IS NULL THEN CAST(l_suppkey AS VARCHAR) END AS seller_id,
+               CASE WHEN refused IS NULL THEN TIMESTAMP '2018-01-01 10:00:00' END AS shipping_limit_date,
+               CASE WHEN refused IS NULL THEN CAST(l_linenumber AS DOUBLE) END AS price,
+               CASE WHEN refused IS NULL THEN 1.0::DOUBLE END AS freight_value,
+               CASE WHEN refused IS NOT NULL THEN 'order_items' END AS table_name,
+               refused AS malformed_row
+        FROM lines""",
+    "src_csv_inferred": """
+        SELECT CAST(o_orderkey AS INTEGER) AS whole, o_orderkey * 10000000000 AS large,
+               CAST(o_orderkey || repeat('0', 20) AS DECIMAL(38, 0)) AS huge, o_totalprice,
+               CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS DOUBLE) ELSE 0.5 END AS mixed_numbers,
+               CAST(o_orderdate AS DATE) AS day, o_orderdate AS moment, o_orderkey % 2 = 0 AS even,
+               CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderkey AS VARCHAR) ELSE 'n/a' END AS number_or_text,
+               CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_orderkey AS INTEGER) END AS sparse,
+               CAST(NULL AS VARCHAR) AS nothing, o_orderpriority
+        FROM orders""",
     "src_parquet_partitioned": _with(
         """
         SELECT * FROM fact""",
@@ -491,6 +519,14 @@ ORACLES: dict[str, str] = {
     "dim_products": _product_query(
         "category", "english AS product_category_name_english,", "products"
     ),
+    "dim_products_from_csv": _product_query(
+        "category",
+        """english AS product_category_name_english,
+        CASE WHEN product_id % 4 <> 0 THEN CAST(product_id * 25 AS INTEGER) END AS product_weight_g,
+        CASE WHEN product_id % 3 <> 0 THEN product_id / 4 ELSE 2 END AS product_volume_l,
+        'note ' || product_id AS product_note,""",
+        "products",
+    ),
     "dim_products_photos_mode": _with(
         """
         SELECT product_id, native AS product_category_name,

@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from checks.standin import RawTables, source
 from starloom.functions import columns as c
+from starloom.functions.columns import UNPARSED
 from starloom.operators.dedup import dedup_by_key
 from starloom.operators.impute import fill_group_median, fill_group_mode, mark_missing
 from starloom.operators.winsorize import winsorize
 from starloom.plans import business, cleaning, panels, quality
 from starloom.plans.star import Star, payments_per_order, reviews_per_order
-from starloom.sources.raw import read_csv, write_csv
+from starloom.sources.raw import RawFiles, read_csv, write_csv
 from starloom.sources.scratch import scratch_path
 from starloom.sources.warehouse import TABLES, VIEW_TABLES, Warehouse
 
@@ -77,6 +78,67 @@ def src_csv_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, types)
 
 
+def _write_lines(lines: DataFrame, header: str, path: str) -> None:
+    """Files of CSV lines as they are, each with the header."""
+    plain = lines.toDF(header).write.option("header", True).option("sep", "\u0001")
+    plain.option("quote", "").option("escapeQuotes", False).csv(path)
+
+
+def src_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item files in which some rows have a field too many, or two too few."""
+    root = scratch_path(spark, "raw")
+    fields = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    late = F.concat_ws(",", *fields, F.lit("2018-01-01 10:00:00"), "l_linenumber", F.lit("1"))
+    shifted = F.concat_ws(",", *fields[:3], F.lit("Rio"), fields[3], F.lit("2018-01-01"), fields[1], F.lit("1"))
+    short = F.concat_ws(",", *fields, F.lit("2018-01-01 10:00:00"))
+    line = F.when(F.col("l_orderkey") % 97 == 0, shifted).when(F.col("l_orderkey") % 89 == 0, short)
+    header = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value"
+    items = source(spark, sf_dir, "lineitem").select(line.otherwise(late).alias("line"))
+    _write_lines(items, header, f"{root}/order_items.csv")
+    good, refused = RawFiles(spark, root).load("order_items")
+    return good.drop(UNPARSED).unionByName(refused, allowMissingColumns=True)
+
+
+def src_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns whose types nobody names, written as text and read back."""
+    path = scratch_path(spark, "orders.csv")
+    key = F.col("o_orderkey")
+    given = source(spark, sf_dir, "orders").select(
+        key.cast("int").alias("whole"),
+        (key * 10_000_000_000).alias("large"),
+        F.concat(key.cast("string"), F.lit("0" * 20)).alias("huge"),
+        "o_totalprice",
+        F.when(key % 2 == 0, key.cast("string")).otherwise(F.lit("0.5")).alias("mixed_numbers"),
+        F.col("o_orderdate").cast("date").alias("day"),
+        F.when(key % 3 == 0, F.col("o_orderdate").cast("date").cast("string"))
+        .otherwise(F.col("o_orderdate").cast("string")).alias("moment"),
+        (key % 2 == 0).alias("even"),
+        F.when(key % 7 != 0, key.cast("string")).otherwise("n/a").alias("number_or_text"),
+        F.when(key % 5 == 0, key.cast("int")).alias("sparse"),
+        F.lit(None).cast("string").alias("nothing"),
+        "o_orderpriority",
+    )
+    write_csv(given, path)
+    # The digits of a decimal follow the data; the comparison wants one type at any size.
+    return read_csv(spark, path, infer=True).withColumn("huge", F.col("huge").cast("decimal(38,0)"))
+
+
+def dim_products_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product dimension from files; weight and volume are columns nobody names."""
+    raw, root = RawTables(spark, sf_dir), scratch_path(spark, "raw")
+    number = F.col("product_id")
+    products = raw["products"].withColumns(
+        {
+            "product_weight_g": F.when(number % 4 != 0, number * 25),
+            "product_volume_l": F.when(number % 3 != 0, number / 4).otherwise(F.lit(2)),
+            "product_note": F.concat(F.lit("note "), number.cast("string")),
+        }
+    )
+    write_csv(products, f"{root}/products.csv")
+    loaded, refused = RawFiles(spark, root, column_types={"products": {"product_id": "bigint"}}).load("products")
+    return cleaning.clean_products(loaded, raw["category_translation"]).drop(UNPARSED)
+
+
 def src_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "documents.csv")
     write_csv(source(spark, sf_dir, "documents"), path)
@@ -198,6 +260,8 @@ def _panel(plan: Callable[[DataFrame], DataFrame], query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     "src_csv_header": src_csv_header,
     "src_csv_multiline": src_csv_multiline,
+    "src_csv_quarantine": src_csv_quarantine,
+    "src_csv_inferred": src_csv_inferred,
     "src_parquet_partitioned": src_parquet_partitioned,
     "views_smoke": views_smoke,
     "orders_clean": _star("orders"),
@@ -214,6 +278,7 @@ QUERIES: dict[str, Query] = {
     "impute_group_mode": impute_group_mode,
     "impute_flag": impute_flag,
     "dim_products": _star("dim_products"),
+    "dim_products_from_csv": dim_products_from_csv,
     "dim_products_photos_mode": _star("dim_products", photos="mode"),
     "dim_products_no_translation": _raw(
         "products", lambda raw: cleaning.clean_products(raw, None)

@@ -8,29 +8,38 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.plans import business, panels, quality
 from starloom.plans.star import Star
-from starloom.sources.raw import COLUMN_TYPES, RawFiles
-from starloom.sources.scratch import stage
+from starloom.sources.raw import COLUMN_TYPES, Loaded, RawFiles
 from starloom.sources.warehouse import TABLES, VIEW_TABLES, Warehouse
 
 
-def load_raw(raw: RawFiles, columnar: bool = True) -> dict[str, DataFrame]:
+def load_raw(raw: RawFiles, columnar: bool = True) -> Mapping[str, DataFrame]:
     """Read all raw tables; the translation may be missing.
 
     Most tables are read more than once, for caps, joins and checks.  They are first
     turned into Parquet, so that the text is parsed once and later passes read only the
-    columns they need; ``columnar=False`` reads the text each time instead.
+    columns they need; rows with another number of fields than their header are set apart
+    (``quarantine``).  ``columnar=False`` reads the text each time instead, and raises at
+    such a row.
     """
-    tables = {}
+    if columnar:
+        return raw.load_all()
+    tables = Loaded()
     for name in COLUMN_TYPES:
         df = raw.read_optional(name) if name == "category_translation" else raw.read(name)
         if df is not None:
-            tables[name] = stage(df, name) if columnar else df
+            tables[name] = df
     return tables
 
 
 def build_warehouse(raw: Mapping[str, DataFrame], warehouse: Warehouse, **options) -> None:
-    """Write all tables of the star schema; ``options`` are those of ``Star``."""
+    """Write all tables of the star schema; ``options`` are those of ``Star``.
+
+    Raw rows that entered no table are written too, as the table ``quarantine``.
+    """
     star = Star(raw, **options)
+    quarantine = getattr(raw, "quarantine", None)
+    if quarantine is not None:
+        warehouse.write("quarantine", quarantine)
     for table in TABLES:
         if table != "fact_orders":
             warehouse.write(table, getattr(star, table))
@@ -108,9 +117,17 @@ def to_client(df: DataFrame, max_rows: int = 100_000):
 
 
 def notes(raw: Mapping[str, DataFrame]) -> list[str]:
-    """What the fact cannot show: orders without items, and texts that did not parse."""
+    """What the fact cannot show: orders without items, rows that were refused for their
+    number of fields, and texts that did not parse."""
     lost = quality.orders_without_items(raw["orders"], raw["order_items"]).count()
     found = [f"orders without items: {lost}"]
+    quarantine = getattr(raw, "quarantine", None)
+    if quarantine is not None:
+        # A row for each raw table at most.
+        found += [
+            f"{r['table_name']}: {r['quarantined']} rows set apart, as {r['example'][:200]!r}"
+            for r in quality.quarantined_rows(quarantine).orderBy("table_name").collect()
+        ]
     unparsed = quality.unparsed_values(raw)
     if unparsed is not None:
         # A row for each column of the raw tables at most.

@@ -46,8 +46,9 @@ def not_read(df: DataFrame, name: str) -> Column:
 
 
 def whole_number(name: str) -> Column:
-    """Read an integer from any column type; text that is no number gives NULL."""
-    return F.col(name).try_cast("double").try_cast("int")
+    """Read an integer from any column type; what is no whole number gives NULL."""
+    value = F.col(name).try_cast("double")
+    return F.when(value == F.floor(value), value.try_cast("int"))
 
 
 def lower_trimmed(name: str) -> Column:

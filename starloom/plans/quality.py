@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import UNPARSED
+from starloom.sources.raw import MALFORMED
 
 # The raw table whose rows a warehouse table must all hold.
 ROW_SOURCES: dict[str, str] = {
@@ -119,6 +120,16 @@ def unparsed_values(raw: Mapping[str, DataFrame]) -> DataFrame | None:
     return reduce(DataFrame.unionByName, counted) if counted else None
 
 
+def quarantined_rows(quarantine: DataFrame) -> DataFrame:
+    """How many rows of each raw table were refused, and one of them as an example.
+
+    A row for each table that has any; the example is the least in the order of text.
+    """
+    return quarantine.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("quarantined"), F.min(MALFORMED).alias("example")
+    )
+
+
 def failed_tables(rows: Sequence[Row]) -> list[str]:
     """The tables of collected report rows that did not pass."""
     return [r["table_name"] for r in rows if r["status"] != "PASS"]

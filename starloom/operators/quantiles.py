@@ -2,17 +2,18 @@
 
 ``percentile_disc`` keeps every distinct value of a group in one task, and
 approximate quantiles may return the maximum for a 99th percentile.  The operator
-here narrows down to the exact value in three passes over the needed columns, each
-a hash aggregate with map-side combining followed by a running total over bucket
-counts:
+here narrows down to the exact value in passes over the needed columns, each a hash
+aggregate with map-side combining followed by a running total over bucket counts:
 
 1. buckets of equal width in log2: 256 per power of two, a million for all doubles;
 2. 2^20 equal slices between the least and greatest value of the chosen bucket;
 3. the distinct values of the chosen slice, which spans less than 3e-9 of its value.
 
-A bucket keeps the least and greatest value found in it, and bucket numbers never
-decrease as values grow, so each pass splits the rows exactly and the third ends on
-the true value.  A value repeated by a third of all rows is one bucket entry.
+A bucket keeps the least and greatest value found in it.  Where both are the same, that
+value is the result and the group needs no further pass: small whole numbers take one,
+amounts of money two.  Bucket numbers never decrease as values grow, so each pass splits
+the rows exactly and the third ends on the true value.  A value repeated by a third of all
+rows is one bucket entry.
 """
 
 from __future__ import annotations
@@ -84,14 +85,20 @@ def _first_pass(numbers: DataFrame, share: float) -> DataFrame:
     return _choose(counts.withColumn("rank", rank))
 
 
-def _other_passes(chosen: DataFrame, join: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Second and third pass; ``join`` brings the chosen buckets to the numbers."""
-    rank = F.max("rank").alias("rank")
+INSIDE = "x BETWEEN low AND high"
+
+
+def _slices(chosen: DataFrame, join: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The slice of each chosen bucket; ``join`` brings the buckets to the numbers."""
     position = _slice(F.col("x"), F.col("low"), F.col("high")).alias("bucket")
-    inside = "x BETWEEN low AND high"
-    slices = join(chosen).where(inside).groupBy("g", position).agg(*_tally(rank))
-    values = join(_choose(slices)).where(inside).groupBy("g", F.col("x").alias("bucket"))
-    return _choose(values.agg(*_tally(rank)))
+    counts = join(chosen).where(INSIDE).groupBy("g", position)
+    return _choose(counts.agg(*_tally(F.max("rank").alias("rank"))))
+
+
+def _values(chosen: DataFrame, join: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The value in each chosen slice."""
+    counts = join(chosen).where(INSIDE).groupBy("g", F.col("x").alias("bucket"))
+    return _choose(counts.agg(*_tally(F.max("rank").alias("rank"))))
 
 
 def quantile_of_few(
@@ -100,16 +107,18 @@ def quantile_of_few(
     """The least value with at least ``share`` of its group's values at or below it.
 
     For a handful of named groups: one row for each of ``groups`` is broadcast and the
-    plan stays lazy.  Rows of other groups are left out; more than ``LOOKUP_ROWS`` names
-    raise.  Returns ``by`` and ``value``; NULL and NaN are no values, groups
-    without a value are left out, and rows whose group is NULL belong to no group.
+    plan stays lazy; the third pass meets an empty broadcast where no group needs it, and
+    adaptive execution leaves it out.  Rows of other groups are left out; more than
+    ``LOOKUP_ROWS`` names raise.  Returns ``by`` and ``value``; NULL and NaN are no values,
+    groups without a value are left out, and rows whose group is NULL belong to no group.
     """
     if len(groups) > LOOKUP_ROWS:
         raise ValueError(f"at most {LOOKUP_ROWS} groups can be named")
     numbers = _numbers(df, value, by).where(F.col("g").isin(list(groups)))
-    found = _other_passes(
-        _first_pass(numbers, share), lambda chosen: numbers.join(F.broadcast(chosen), "g")
-    )
+    join = lambda chosen: numbers.join(F.broadcast(chosen), "g")
+    slices = _slices(_first_pass(numbers, share), join)
+    done, open_ = slices.where("low = high"), slices.where("low < high")
+    found = done.unionByName(_values(open_, join))
     return found.select(F.col("g").alias(by), F.col("low").alias(value))
 
 
@@ -118,21 +127,22 @@ def group_quantile(
 ) -> DataFrame:
     """As ``quantile_of_few``, for any number of groups.
 
-    The first pass is run at once.  If it finds up to ``max_groups`` groups, their
-    buckets are broadcast to the next passes, which are left out when every bucket
-    turned out to hold a single value, as with small whole numbers.  Beyond that the
-    buckets are joined by shuffle, and rows of hot groups stay in place.
+    The first pass is run at once.  If it finds up to ``max_groups`` groups, their buckets are
+    broadcast to the next passes, and those are left out once every bucket holds a single
+    value: small whole numbers take one pass, amounts of money two.  Beyond that the buckets
+    are joined by shuffle, and rows of hot groups stay in place.
     """
     numbers = _numbers(df, value, by)
     first = _first_pass(numbers, share)
-    few = small_copy(first, max_groups)
-    if few is None:
+    found = small_copy(first, max_groups)
+    if found is None:
         hot = hot_keys(numbers, "g")
-        found = _other_passes(
-            first, lambda chosen: left_join_chain(numbers, [chosen], "g", hot)
-        )
-    elif few.where("low < high").isEmpty():
-        found = few
+        join = lambda chosen: left_join_chain(numbers, [chosen], "g", hot)
+        found = _values(_slices(first, join), join)
     else:
-        found = _other_passes(few, lambda chosen: numbers.join(F.broadcast(chosen), "g"))
+        join = lambda chosen: numbers.join(F.broadcast(chosen), "g")
+        for narrow in (_slices, _values):
+            if found.where("low < high").isEmpty():
+                break
+            found = small_copy(narrow(found, join), max_groups)
     return found.select(F.col("g").alias(by), F.col("low").alias(value))

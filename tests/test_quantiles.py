@@ -111,3 +111,22 @@ def test_group_mode_fill(spark):
         [("a", 1.0), ("a", 9.0), ("a", 9.0), ("a", 9.0), ("tie", 4.0), ("tie", 2.0), ("tie", 2.0)],
         key=repr,
     )
+
+
+def scans(df):
+    """Scans that a finished query ran: those of stages that adaptive execution kept."""
+    df.collect()
+    text = plan(df).split("== Initial Plan ==")[0]
+    return text.count("Scan")
+
+
+def test_money_takes_two_passes_and_smooth_values_three(spark, tmp_path):
+    spark.range(5000).selectExpr("round(id * 0.37D, 2) AS v", "'a' AS g").write.parquet(str(tmp_path / "m"))
+    spark.range(5000).selectExpr("1 + rand(3) * 1e-12 AS v", "'a' AS g").write.parquet(str(tmp_path / "d"))
+    money, smooth = (spark.read.parquet(str(tmp_path / n)) for n in "md")
+    for df in (money, smooth):
+        values = [r["v"] for r in df.collect()]
+        assert rows(quantile_of_few(df, "v", 0.99, "g", ["a"])) == [("a", brute(values, 99))]
+    assert scans(quantile_of_few(money, "v", 0.99, "g", ["a"])) < scans(
+        quantile_of_few(smooth, "v", 0.99, "g", ["a"])
+    )

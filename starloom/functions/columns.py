@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sums and means of doubles depend on the order in which tasks finish.  Going
-# through a decimal makes them exact, so that a result never changes from one
-# run (or one cluster size) to the next.  Values from EXACT_BELOW on, and those
-# that are not finite, do not fit and are added as doubles.
+# Sums and means of doubles depend on the order in which tasks finish.  So a double is
+# taken for the shortest decimal that stands for it and added in whole numbers, whose sums
+# are exact in any order: multiples of 2^30, the rest of the whole part, and the fraction
+# in units of 1/PLACES.  Other values (more than four places, or from MOST_PLACED on) go
+# through a decimal, from which multiples of 2^30 are taken first.
+UNIT_BITS = 30
+UNIT = float(1 << UNIT_BITS)
+PLACES = 10_000.0
+MOST_PLACED = 9e11
+LARGEST = float(1 << 84)
 EXACT = "decimal(38,18)"
-EXACT_BELOW = 1e12
-COORDINATE = "decimal(30,16)"
 
 # The column in which a CSV reader keeps, by column name, text that did not parse.
 UNPARSED = "unparsed_text"
@@ -100,23 +104,46 @@ def sentiment(score: Column) -> Column:
 def exact_sum(value: Column) -> Column:
     """Sum of doubles that does not depend on the order of the rows; NULL if there is none.
 
-    Nothing is rounded before it is added, but for digits beyond the eighteenth place.
-    NaN and infinity show in the sum, as they do in a plain one.
+    What is added are the decimals that the doubles print as, up to the eighteenth place
+    (from 2^30 on, those with more than four places lose what a double's rest does not
+    hold); the total is rounded to a double once.  NaN and infinity show in the sum, as they
+    do in a plain one, and so do values from 2^84 (2e25) on, which are added as doubles.
     """
-    fits = F.abs(value) < EXACT_BELOW
-    exact = F.sum(F.when(fits, value.cast("double")).cast(EXACT)).cast("double")
-    other = F.sum(F.when(~fits, value.cast("double")))
+    x = value.cast("double")
+    fits = F.abs(x) < LARGEST
+    placed = F.rint(x * PLACES)
+    short = (F.abs(x) < MOST_PLACED) & (placed / PLACES == x)
+    whole = F.when(short, x).cast("bigint")
+    units = F.when(short, F.shiftright(whole, UNIT_BITS)).when(fits, (x * (1 / UNIT)).cast("bigint"))
+    ones = F.sum(whole.bitwiseAND(F.lit((1 << UNIT_BITS) - 1)))
+    places = F.sum(F.when(short, placed - whole * PLACES).cast("bigint"))
+    rest = F.sum(F.when(fits & ~short, x - units * UNIT).cast(EXACT))
+    other = F.sum(F.when(~fits, x))
+    exact = _joined(F.sum(units), ones, places, rest)
     return F.coalesce(exact + other, exact, other)
 
 
+def _joined(units: Column, ones: Column, places: Column, rest: Column) -> Column:
+    """The double next to a sum in parts; NULL without ``units``."""
+    none = F.lit(0).cast("bigint")
+    whole = units.cast("decimal(20,0)") * F.lit(1 << UNIT_BITS) + F.coalesce(ones, none)
+    below = F.coalesce(places, none).cast("decimal(20,0)") / F.lit(int(PLACES)).cast("decimal(5,0)")
+    below = below.cast(EXACT) + F.coalesce(rest, F.lit(0).cast(EXACT))
+    # Eighteen places fit beside a whole part of so many digits.
+    small = F.abs(whole) < F.lit(10**18)
+    return F.when(small, (F.when(small, whole).cast(EXACT) + below).cast("double")).otherwise(
+        whole.cast("double") + below.cast("double")
+    )
+
+
 def exact_mean(value: Column) -> Column:
     """Mean whose last digits do not depend on the order of the rows."""
     return exact_sum(value) / F.nullif(F.count(value), F.lit(0))
 
 
 def mean_coordinate(name: str) -> Column:
-    """Mean latitude or longitude, from sixteen decimal places."""
-    return F.avg(F.col(name).cast(COORDINATE)).cast("double")
+    """Mean latitude or longitude; NaN shows in it, text that is no number is left out."""
+    return exact_mean(number(name))
 
 
 def rounded(value: Column, digits: int) -> Column:

@@ -1,7 +1,11 @@
 """Edge rows of the column rules."""
 
 import datetime as dt
+import math
+from decimal import Decimal
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starloom.functions import columns as c
@@ -133,6 +137,38 @@ def test_sums_round_nothing_and_keep_what_is_not_finite(spark):
     assert total(float("inf"), 1.0)[0] == float("inf")
     assert total(float("nan"), 1.0)[0] != total(float("nan"), 1.0)[0]
     assert total(None) == (None, None) and total() == (None, None)
+    assert total(1e300, -1e300, 1.5)[0] == 1.5 and total(-0.1, 0.1)[0] == 0.0
+    assert total(*[1e22] * 1000, *[1.0] * 5)[0] == 1e25
+    assert total(-1e-5, 1e-6)[0] == -9e-6
+
+
+def test_large_sums_neither_overflow_nor_switch(spark):
+    many = spark.range(160_000_000).select(F.lit(9e11).alias("v"))
+    assert many.agg(c.exact_sum(F.col("v"))).first()[0] == 160_000_000 * 9e11
+    below, above = ([at, 0.1, 0.2, 0.3, -at] for at in (1e12 - 1, 1e12 + 1))
+    for values in (below, above):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        assert df.agg(c.exact_sum(F.col("v"))).first()[0] == 0.6
+
+
+money = st.integers(-(10**9), 10**9).map(lambda n: n / 100)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(money | st.floats(-(2.0**30), 2.0**30).filter(lambda v: v == 0 or abs(v) > 0.1), min_size=1))
+def test_sums_equal_those_of_the_decimals_in_any_order(spark, values):
+    sums = set()
+    for order in (values, values[::-1], sorted(values)):
+        df = spark.createDataFrame([(v,) for v in order], "v double").repartition(3)
+        sums.add(df.agg(c.exact_sum(F.col("v"))).first()[0])
+    assert sums == {float(sum(Decimal(repr(v)) for v in values))}
+
+
+def test_coordinates_show_what_is_not_a_number(spark):
+    rows_ = [("a", float("nan")), ("a", 2.0), ("b", -23.5), ("b", -23.25), ("c", None)]
+    df = spark.createDataFrame(rows_, "g string, lat double")
+    got = dict(rows(df.groupBy("g").agg(c.mean_coordinate("lat"))))
+    assert math.isnan(got["a"]) and got["b"] == -23.375 and got["c"] is None
 
 
 def test_a_price_that_is_no_number_is_invalid(spark):

@@ -122,7 +122,9 @@ def scans(df):
 
 def test_money_takes_two_passes_and_smooth_values_three(spark, tmp_path):
     spark.range(5000).selectExpr("round(id * 0.37D, 2) AS v", "'a' AS g").write.parquet(str(tmp_path / "m"))
-    spark.range(5000).selectExpr("1 + rand(3) * 1e-12 AS v", "'a' AS g").write.parquet(str(tmp_path / "d"))
+    spark.range(5000).selectExpr(
+        "CASE id WHEN 0 THEN 1D WHEN 1 THEN 1.002D ELSE 1.001D + id * 1e-13D END AS v", "'a' AS g"
+    ).write.parquet(str(tmp_path / "d"))
     money, smooth = (spark.read.parquet(str(tmp_path / n)) for n in "md")
     for df in (money, smooth):
         values = [r["v"] for r in df.collect()]

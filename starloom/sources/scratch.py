@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,10 +44,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_end_with_query(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside drop their shuffle files at their end.
+
+    Otherwise those stay until the driver collects its garbage.  A staged table takes the
+    place of the shuffles that made it; nothing reads them again.
+    """
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet and read it back, for plans that use it repeatedly."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_end_with_query(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -72,7 +91,8 @@ class Workspace:
         return f"{self.root}/{name}"
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+        with shuffles_end_with_query(self.spark):
+            df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

@@ -175,9 +175,12 @@ class NearDuplicates:
         )
         self.nodes = self.work.stage(self._nodes(), "nodes")
         self.shared = self.work.stage(self._shared_keys(), "shared")
+        self.work.drop("key-sizes")
         self.texts = self.work.stage(self._texts(), "texts")
+        self.work.drop("wanted")
         self._links: list[DataFrame] = []
         self.labels = self._search()
+        self.work.drop("shared", "texts", *[f"links{k}" for k in range(STARS)], "links-small", "links-hot")
 
     def _nodes(self) -> DataFrame:
         """One node per shingle set: the document that comes first."""
@@ -267,7 +270,9 @@ class NearDuplicates:
             f"{name}-spread",
         )
         opened = labelled.join(spread, F.col("key") == F.col("of"), "left_semi")
-        return self.work.stage(opened, f"{name}-open")
+        opened = self.work.stage(opened, f"{name}-open")
+        self.work.drop(f"{name}-labelled", f"{name}-spread")
+        return opened
 
     def _star_pairs(self, opened: DataFrame, name: str) -> DataFrame:
         """Each node with the best-supported node of other components among its keys' hubs.
@@ -288,7 +293,33 @@ class NearDuplicates:
             F.col("component") != F.col("hub.hub_component")
         )
         best = met.groupBy("node").agg(F.max("hub").alias("hub"))
-        return best.select((-F.col("hub.early")).alias("a"), F.col("node").alias("b"))
+        pairs = best.select((-F.col("hub.early")).alias("a"), F.col("node").alias("b"))
+        pairs = self.work.stage(self._screened(pairs), f"{name}-pairs")
+        self.work.drop(f"{name}-supported", f"{name}-hubs")
+        return pairs
+
+    def _screened(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose signatures are not too far apart; no text travels yet."""
+        shape = self.shape
+        first = self.nodes.select(F.col("node").alias("na"), F.col("signature").alias("mark_a"))
+        second = self.nodes.select(F.col("node").alias("nb"), F.col("signature").alias("mark_b"))
+        marked = (
+            pairs.join(second, F.col("b") == F.col("nb"))
+            .join(first, F.col("a") == F.col("na"))
+            .select("a", "b", "mark_a", "mark_b")
+        )
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                a, b = (
+                    np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, shape.values)
+                    for k in (2, 3)
+                )
+                near = (a != b).sum(axis=1) <= shape.screen
+                kept = batch.filter(pa.array(near))
+                yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
+
+        return marked.mapInArrow(run, "a bigint, b bigint")
 
     def _open_pairs(self, opened: DataFrame) -> DataFrame:
         """All pairs across components in keys of at most SMALL_KEY nodes, but those whose
@@ -377,7 +408,10 @@ class NearDuplicates:
         large = sized.filter(F.col("n_open") > SMALL_KEY)
         if large.isEmpty():
             return [small]
-        return [small, self._hot_links(large, "links-hot")]
+        hot = self._hot_links(large, "links-hot")
+        parts = ("first", "cluster-components", "blocks", "rows")
+        self.work.drop(*[f"links-hot-{part}" for part in parts])
+        return [small, hot]
 
     def _search(self) -> DataFrame:
         labels, opened = None, self.shared
@@ -386,14 +420,18 @@ class NearDuplicates:
             pairs = self._star_pairs(opened, f"star{k}")
             self._links.append(self._confirmed(pairs, f"links{k}"))
             labels = self._components(f"c{k}")
+            # What the round has used up; of its components the labels are kept.
+            self.work.drop(f"star{k}-pairs", *[f"star{k - 1}-open", f"c{k - 1}-components"][: 2 * k])
         opened = self._open_keys(labels, opened, "rest")
+        self.work.drop(f"star{STARS - 1}-open")
         if not opened.isEmpty():
             self._links += self._open_links(opened)
             labels = self._components("c-rest")
+        self.work.drop("rest-open", "open-sizes", "open-sized")
         return labels
 
     def classes(self) -> DataFrame:
-        """(s1, s2, component_id, first_k1, first_k2): for every shingle set, its
+        """(c1, c2, component_id, first_k1, first_k2): for every shingle set, its
         component's first document."""
         labelled = self.work.stage(
             self.nodes.join(self.labels.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
@@ -406,10 +444,15 @@ class NearDuplicates:
             ),
             "firsts",
         )
-        return labelled.join(first, F.col("component") == F.col("c")).select(
-            F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.col("f.doc").alias("component_id"),
-            F.col("f.k1").alias("first_k1"), F.col("f.k2").alias("first_k2"),
+        found = self.work.stage(
+            labelled.join(first, F.col("component") == F.col("c")).select(
+                F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.col("f.doc").alias("component_id"),
+                F.col("f.k1").alias("first_k1"), F.col("f.k2").alias("first_k2"),
+            ),
+            "classes",
         )
+        self.work.drop("labelled", "firsts")
+        return found
 
     def membership(self) -> DataFrame:
         """One row per document: key, n_shingles, component_id and kept.
@@ -417,10 +460,9 @@ class NearDuplicates:
         ``component_id`` is the smallest key reachable; ``kept`` tells whether it is the
         document's own.  A document linked with nothing is its own component.
         """
-        classes = self.work.stage(self.classes(), "classes")
         same = (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n_shingles") > 0)
         component = F.when(F.col("c1").isNull(), F.col("doc")).otherwise(F.col("component_id"))
-        return self.signed.join(classes, same, "left").select(
+        return self.signed.join(self.classes(), same, "left").select(
             F.col("doc").alias(self.key), "n_shingles", component.alias("component_id"),
             F.col("doc").eqNullSafe(component).alias("kept"),
         )
@@ -428,34 +470,34 @@ class NearDuplicates:
     def survivors(self) -> DataFrame:
         """The documents, whole rows, less all but the first of each component.
 
-        Documents linked with nothing stay, those without words among them.
+        Documents linked with nothing stay, those without words among them.  Columns may
+        have any names; they travel as one value.
         """
-        classes = self.work.stage(self.classes(), "classes")
         same = (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n_shingles") > 0)
         first = (
             F.col("c1").isNull()
             | (F.col("doc").eqNullSafe(F.col("component_id"))
                & (F.col("k1") == F.col("first_k1")) & (F.col("k2") == F.col("first_k2")))
         )
-        staying = self.signed.join(classes, same, "left").filter(first)
+        staying = self.signed.join(self.classes(), same, "left").filter(first)
         staying = self.work.stage(
-            staying.groupBy(F.col("doc").alias("_d"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
-            .agg(F.max(F.when(F.col("n_shingles") > 0, 1).otherwise(0)).alias("_once")),
+            staying.groupBy("doc", "k1", "k2")
+            .agg(F.max(F.when(F.col("n_shingles") > 0, 1).otherwise(0)).alias("once")),
             "staying",
         )
-        k1, k2 = text_key(F.coalesce(F.col(f"`{self.text}`"), F.lit("")))
-        rows = self.documents.withColumns({"_t1": k1, "_t2": k2})
-        same = (
-            (F.col("_t1") == F.col("_k1")) & (F.col("_t2") == F.col("_k2"))
-            & F.col(f"`{self.key}`").eqNullSafe(F.col("_d"))
+        t1, t2 = text_key(F.coalesce(F.col(f"`{self.text}`"), F.lit("")))
+        rows = self.documents.select(
+            F.struct(*[F.col(f"`{c}`") for c in self.documents.columns]).alias("row"),
+            F.col(f"`{self.key}`").alias("d"), t1.alias("t1"), t2.alias("t2"),
         )
+        same = (F.col("t1") == F.col("k1")) & (F.col("t2") == F.col("k2")) & F.col("d").eqNullSafe(F.col("doc"))
         # Of rows equal in key and text one stays; texts without words are no duplicates.
-        again = W.partitionBy("_k1", "_k2", "_d").orderBy(F.lit(0))
+        again = W.partitionBy("k1", "k2", "doc").orderBy(F.lit(0))
         return (
             rows.join(staying, same)
-            .withColumn("_nth", F.row_number().over(again))
-            .filter((F.col("_nth") == 1) | (F.col("_once") == 0))
-            .select(*[f"`{c}`" for c in self.documents.columns])
+            .withColumn("nth", F.row_number().over(again))
+            .filter((F.col("nth") == 1) | (F.col("once") == 0))
+            .select("row.*")
         )
 
 

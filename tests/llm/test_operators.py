@@ -413,6 +413,18 @@ def test_survivors_and_edges(spark):
     assert near_dup.NearDuplicates(documents(spark, [])).membership().count() == 0
 
 
+def test_survivors_keep_columns_of_any_name(spark):
+    names = ["_t1", "_t2", "_nth", "_once", "_k1", "k1", "row", "nth", "doc", "c1", "a.b"]
+    text = " ".join(f"w{k}" for k in range(50))
+    rows = [(k, text if k < 3 else f"{text} {k} " * k, *[f"{n}{k}" for n in names]) for k in range(6)]
+    ddl = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    given = spark.createDataFrame(rows, ddl)
+    got = near_dup.NearDuplicates(given).survivors()
+    assert got.columns == given.columns
+    kept = {r["doc_id"]: tuple(r) for r in got.collect()}
+    assert 0 in kept and not {1, 2} & set(kept) and all(kept[k] == rows[k] for k in kept)
+
+
 def test_signature_distance_is_guaranteed():
     shape, r = near_dup.Shape(), np.random.default_rng(1)
     a = r.integers(0, 1 << 16, (200, shape.values))

@@ -95,7 +95,7 @@ def src_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value"
     items = source(spark, sf_dir, "lineitem").select(line.otherwise(late).alias("line"))
     _write_lines(items, header, f"{root}/order_items.csv")
-    good, refused = RawFiles(spark, root).load("order_items")
+    good, refused, _ = RawFiles(spark, root).load("order_items")
     return good.drop(UNPARSED).unionByName(refused, allowMissingColumns=True)
 
 
@@ -135,7 +135,8 @@ def dim_products_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     write_csv(products, f"{root}/products.csv")
-    loaded, refused = RawFiles(spark, root, column_types={"products": {"product_id": "bigint"}}).load("products")
+    files = RawFiles(spark, root, column_types={"products": {"product_id": "bigint"}})
+    loaded, _, _ = files.load("products")
     return cleaning.clean_products(loaded, raw["category_translation"]).drop(UNPARSED)
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.plans import business, panels, quality
 from starloom.plans.star import Star
 from starloom.sources.raw import COLUMN_TYPES, Loaded, RawFiles
-from starloom.sources.warehouse import TABLES, VIEW_TABLES, Warehouse
+from starloom.sources.warehouse import FACT_PARTITIONS, TABLES, VIEW_TABLES, Warehouse
 
 
 def load_raw(raw: RawFiles, columnar: bool = True) -> Mapping[str, DataFrame]:
@@ -31,23 +33,43 @@ def load_raw(raw: RawFiles, columnar: bool = True) -> Mapping[str, DataFrame]:
     return tables
 
 
-def build_warehouse(raw: Mapping[str, DataFrame], warehouse: Warehouse, **options) -> None:
+def build_warehouse(
+    raw: Mapping[str, DataFrame], warehouse: Warehouse, **options
+) -> quality.WatchedWrites:
     """Write all tables of the star schema; ``options`` are those of ``Star``.
 
-    Raw rows that entered no table are written too, as the table ``quarantine``.
+    Readers see all the new tables at the end, or, if anything fails, the old ones.  Raw
+    rows that entered no table are written too, as the table ``quarantine``.  Returns the
+    counts taken on the way, for an audit that reads nothing again.
     """
-    star = Star(raw, **options)
+    star, watched = Star(raw, **options), quality.WatchedWrites(warehouse.spark)
     quarantine = getattr(raw, "quarantine", None)
-    if quarantine is not None:
-        warehouse.write("quarantine", quarantine)
-    for table in TABLES:
-        if table != "fact_orders":
-            warehouse.write(table, getattr(star, table))
-    # The fact takes products, payments and reviews from the tables just written.
-    star.dim_products = warehouse.read("dim_products")
-    star.dim_payments = warehouse.read("dim_payments")
-    star.dim_reviews = warehouse.read("dim_reviews")
-    warehouse.write("fact_orders", star.fact_orders)
+    with warehouse.replacing():
+        if quarantine is not None:
+            warehouse.write("quarantine", quarantine)
+        for table in TABLES:
+            if table != "fact_orders":
+                warehouse.write(table, getattr(star, table), watched.watch(table))
+        # The fact takes products, payments and reviews from the tables just written.
+        star.dim_products = warehouse.read("dim_products")
+        star.dim_payments = warehouse.read("dim_payments")
+        star.dim_reviews = warehouse.read("dim_reviews")
+        warehouse.write("fact_orders", star.fact_orders, watched.watch("fact_orders"))
+    return watched
+
+
+def update_months(
+    raw: Mapping[str, DataFrame], warehouse: Warehouse, months: Sequence[tuple[int, int]]
+) -> None:
+    """Write the fact again for the given (year, month) pairs of purchase, and only those.
+
+    ``raw`` has to hold all rows: caps and medians are those of the whole tables.  Months
+    without an order any more keep what they have.
+    """
+    fact = Star(raw).fact_orders
+    year, month = (F.col(c) for c in FACT_PARTITIONS)
+    wanted = [(year == y) & (month == m) for y, m in months]
+    warehouse.write_months(fact.where(reduce(Column.__or__, wanted, F.lit(False))))
 
 
 def check_warehouse(
@@ -152,9 +174,11 @@ def main(
     """
     spark = SparkSession.builder.appName("starloom").getOrCreate()
     raw, warehouse = load_raw(RawFiles(spark, raw_root, names)), Warehouse(spark, warehouse_root)
-    build_warehouse(raw, warehouse, **options)
-    # A row for each table, collected once.
-    checked = [row for report in check_warehouse(raw, warehouse) for row in report.collect()]
+    watched = build_warehouse(raw, warehouse, **options)
+    warehouse.drop_unused()
+    # A row for each table, counted while it was written.
+    reports = watched.audit(), watched.row_counts(raw.rows)
+    checked = [row for report in reports for row in report.collect()]
     for line in [*map(str, checked), *notes(raw)]:
         print(line)
     failed = quality.failed_tables(checked)

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -177,10 +177,13 @@ class Loaded(dict):
     """Raw tables by name, and the rows that entered none of them.
 
     ``quarantine`` has a row (table_name, malformed_row) for each such row; None without
-    files.
+    files.  ``rows`` are the tables' numbers of rows, where they were counted on the way.
     """
 
-    quarantine: DataFrame | None = None
+    def __init__(self) -> None:
+        super().__init__()
+        self.quarantine: DataFrame | None = None
+        self.rows: dict[str, int] = {}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -236,31 +239,33 @@ class RawFiles:
             unparsed=UNPARSED,
         )
 
-    def load(self, table: str) -> tuple[DataFrame, DataFrame]:
-        """The table and its malformed rows (table_name, malformed_row), through Parquet.
+    def load(self, table: str) -> tuple[DataFrame, DataFrame, int]:
+        """The table, its malformed rows (table_name, malformed_row) and its number of rows.
 
-        The text is read once.  While it is written as Parquet, columns without a named type
-        are tallied; later passes read only the columns they need.
+        The text is read once.  While it is written as Parquet, rows are counted and columns
+        without a named type are tallied; later passes read only the columns they need.
         """
         text, named = self.text(table), self.column_types[table]
         unnamed = [c for c in text.columns if c not in named and c != MALFORMED]
-        found = TypesOnTheWay(text, unnamed, F.col(MALFORMED).isNull())
-        stored = stage(found.rows, table)
-        rows = stored.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
+        well = F.col(MALFORMED).isNull()
+        found, counted = TypesOnTheWay(text, unnamed, well), Observation(f"rows of {table}")
+        stored = stage(found.rows.observe(counted, F.count_if(well).alias("rows")), table)
+        rows = stored.where(well).drop(MALFORMED)
         refused = stored.where(F.col(MALFORMED).isNotNull())
         return (
             typed(rows, {**named, **found.types()}, UNPARSED),
             refused.select(F.lit(table).alias("table_name"), MALFORMED),
+            counted.get["rows"],
         )
 
     def load_all(self, optional: frozenset[str] = frozenset({"category_translation"})) -> Loaded:
         """Every table, and what was refused; an ``optional`` one may be missing."""
         tables, refused = Loaded(), []
         for name in COLUMN_TYPES:
-            pair = self._or_none(name, self.load) if name in optional else self.load(name)
-            if pair is not None:
-                tables[name] = pair[0]
-                refused.append(pair[1])
+            found = self._or_none(name, self.load) if name in optional else self.load(name)
+            if found is not None:
+                tables[name], malformed, tables.rows[name] = found
+                refused.append(malformed)
         tables.quarantine = reduce(DataFrame.unionByName, refused)
         return tables
 

@@ -59,7 +59,8 @@ p2,toys,,100,,300,1,b
 def test_unnamed_columns_get_types_in_the_pass_that_stores_them(spark, tmp_path):
     (tmp_path / "products.csv").write_text(PRODUCTS)
     files = RawFiles(spark, str(tmp_path))
-    table, refused = files.load("products")
+    table, refused, counted = files.load("products")
+    assert counted == 2
     kinds = dict(table.dtypes)
     assert (kinds["product_weight_g"], kinds["product_ratio"], kinds["product_note"]) == ("int", "double", "string")
     assert kinds["product_id"] == "string" and refused.count() == 0
@@ -96,13 +97,13 @@ o5,1,p2,s2,never,free,1,4
 
 def test_rows_of_wrong_length_are_set_apart(spark, tmp_path):
     (tmp_path / "order_items.csv").write_text(ITEMS)
-    table, refused = RawFiles(spark, str(tmp_path)).load("order_items")
+    table, refused, counted = RawFiles(spark, str(tmp_path)).load("order_items")
     assert unordered(table.select("order_id", "seller_id", "price", "gift")) == [
         ("o1", "s1", 10.5, 1), ("o3", "Sao Paulo, SP", 99.0, 3), ("o5", "s2", None, 4),
     ]
     lines = ITEMS.splitlines()
     assert unordered(refused) == sorted([("order_items", lines[k]) for k in (2, 3, 5)])
-    assert table.count() + refused.count() == 6
+    assert counted == table.count() and counted + refused.count() == 6
     report = quality.quarantined_rows(refused)
     assert rows(report) == [("order_items", 3, lines[2])]
     # A shifted field decides no type: only the three good rows were tallied.
@@ -142,7 +143,7 @@ r3,o1,five,123,,,
 
 def test_times_and_scores_that_do_not_parse_are_kept_and_counted(spark, tmp_path):
     (tmp_path / "reviews.csv").write_text(REVIEWS)
-    table, _ = RawFiles(spark, str(tmp_path)).load("reviews")
+    table, _, _ = RawFiles(spark, str(tmp_path)).load("reviews")
     assert [r["review_score"] for r in table.orderBy("review_id").collect()] == [None, 3, None]
     assert unordered(quality.unparsed_values({"reviews": table})) == [
         ("reviews", "review_answer_timestamp", 1), ("reviews", "review_score", 2),

@@ -38,7 +38,7 @@ Example = tuple[np.ndarray, np.ndarray | None]
 @dataclass(frozen=True)
 class Limits:
     tokens: int = 1024
-    segments: int = 256
+    segments: int = 1024
     loss_tokens: int = 1024
 
 
@@ -83,6 +83,8 @@ class Packer:
         self.share = np.zeros((waiting, 3))
         self.free = list(range(waiting - 1, -1, -1))
         self.done: list[list[_Piece]] = []
+        #: A sequence with room left when no example was waiting any more.
+        self.begun: tuple[np.ndarray, list[_Piece]] | None = None
 
     def add(self, key: object, ids: np.ndarray, loss: np.ndarray | None) -> None:
         piece = _Piece(key, ids, loss, 0, len(ids))
@@ -112,11 +114,14 @@ class Packer:
         return piece
 
     def _fill(self) -> None:
-        """Fill and close one sequence from the waiting examples."""
-        room, sequence = self.caps.copy(), []
+        """Fill one sequence from the waiting examples, and close it once it is full."""
+        room, sequence = self.begun or (self.caps.copy(), [])
+        self.begun = None
         while room.min() > 0 or (room[0] > 0 and room[1] > 0):
             if len(self.free) == len(self.pieces):
-                break
+                # Many short examples: it goes on with those that come next.
+                self.begun = room, sequence
+                return
             worth = self.share @ (room / self.caps)
             fits = (self.demand <= room).all(axis=1)
             if fits.any():
@@ -136,6 +141,9 @@ class Packer:
     def finish(self) -> None:
         while len(self.free) < len(self.pieces):
             self._fill()
+        if self.begun:
+            self.done.append(self.begun[1])
+            self.begun = None
 
 
 def _batch(sequences: list[tuple[int, list[_Piece]]], key_type: pa.DataType, with_ids: bool):

@@ -30,7 +30,7 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encode = packing.text_encoder(ranks, public_tokenizers.PATTERN, "text", end=0)
-    return packing.pack(documents, "doc_id", ["text"], encode, packing.Limits(1024, 256, 1024))
+    return packing.pack(documents, "doc_id", ["text"], encode, packing.Limits(1024, 1024, 1024))
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

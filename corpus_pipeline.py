@@ -43,7 +43,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the tokenized texts in sequences of 1024."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encode = text_encoder(ranks, public_tokenizers.PATTERN, "text", end=0)
-    return pack(docs, "doc_id", ["text"], encode, Limits(1024, 256, 1024))
+    return pack(docs, "doc_id", ["text"], encode, Limits(1024, 1024, 1024))
 
 
 STAGES = [

@@ -67,21 +67,49 @@ def unpattern(number: int) -> tuple[int, ...]:
     return tuple(number // 3**k % 3 for k in range(LABELLERS))
 
 
+#: Votes that each labeller is taken to have cast on documents of either class before any
+#: is seen, and how it cast them: few, so that the figures are those of the documents.
+PRIOR_VOTES = 20.0
+PRIOR_GOOD = 0.85
+#: Labellers that can vote for good, besides junk and nothing.
+CAN_PRAISE = tuple(k in (2, 4) for k in range(LABELLERS))
+#: Least and greatest chance of a vote that a labeller can cast.
+LEAST_CHANCE = 1e-6
+
+
+def _first_guess() -> np.ndarray:
+    """P(vote | class) by class (junk, good), labeller and vote, before any document."""
+    table = np.zeros((2, LABELLERS, 3))
+    for k, praises in enumerate(CAN_PRAISE):
+        table[1, k] = (0.55, 0.44, 0.01) if praises else (0.99, 0.0, 0.01)
+        table[0, k] = (0.55, 0.15, 0.3) if praises else (0.7, 0.0, 0.3)
+    return table
+
+
+def _ordered(table: np.ndarray) -> np.ndarray:
+    """The same chances, but that a vote for junk is never likelier on good documents, nor
+    one for good on junk: where it would be, both classes get the chance of their mean.
+
+    This alone tells the classes apart; it says nothing of how good a labeller is.
+    """
+    for vote, likelier in ((JUNK, 0), (GOOD, 1)):
+        wrong = table[likelier, :, vote] < table[1 - likelier, :, vote]
+        table[:, wrong, vote] = table[:, wrong, vote].mean(axis=0)
+    table[:, :, NOTHING] = np.maximum(1 - table[:, :, GOOD] - table[:, :, JUNK], LEAST_CHANCE)
+    return table / table.sum(axis=2, keepdims=True)
+
+
 def estimate(counts: dict[int, int], rounds: int = EM_ROUNDS) -> tuple[dict[int, float], np.ndarray]:
-    """P(good) of each vote pattern, and P(vote | class) of each labeller.
+    """P(good) of each vote pattern, and P(vote | class) of each labeller (junk, then good).
 
-    Votes for nothing are an outcome like the others.  Good documents start with as many
-    prior votes as half of the corpus, junk with a twentieth, by which a labeller calls 3 in 10 junk documents and 1 in 100
-    good ones junk; the data move these figures.
+    Votes for nothing are an outcome like the others.  Besides PRIOR_VOTES votes a labeller,
+    the figures come from the documents, however many there are.
     """
     numbers = np.array(sorted(counts), dtype=np.int64)
     weight = np.array([counts[n] for n in numbers.tolist()], dtype=float)
     vote = np.array([unpattern(n) for n in numbers.tolist()], dtype=np.int64).reshape(-1, LABELLERS)
-    table = np.zeros((2, LABELLERS, 3))
-    # P(nothing), P(good), P(junk) for good and for junk documents before any is seen.
-    table[1], table[0] = (0.55, 0.44, 0.01), (0.55, 0.15, 0.3)
-    given, belief = table.copy(), np.array([0.05, 0.5]) * weight.sum()
-    prior = 0.85
+    given = _first_guess()
+    table, prior = np.maximum(given, LEAST_CHANCE), PRIOR_GOOD
     post = np.zeros(len(numbers))
     for _ in range(rounds):
         like = np.log(table[:, np.arange(LABELLERS), vote]).sum(axis=2)
@@ -89,8 +117,9 @@ def estimate(counts: dict[int, int], rounds: int = EM_ROUNDS) -> tuple[dict[int,
         for c, share in ((1, post), (0, 1 - post)):
             for v in range(3):
                 seen = ((weight * share)[:, None] * (vote == v)).sum(axis=0)
-                table[c, :, v] = seen + belief[c] * given[c, :, v] + 1e-3
+                table[c, :, v] = np.maximum(seen + PRIOR_VOTES * given[c, :, v], LEAST_CHANCE)
             table[c] /= table[c].sum(axis=1, keepdims=True)
+        table = _ordered(table)
         prior = float(np.clip((weight * post).sum() / max(weight.sum(), 1), 0.01, 0.99))
     return dict(zip(numbers.tolist(), post.tolist())), table
 

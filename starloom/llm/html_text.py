@@ -33,6 +33,11 @@ NEVER_TEXT = frozenset(
     "aside form button select option input svg canvas object video audio dialog menu datalist "
     "applet map".split()
 )
+#: Elements without article text that stand within a line: they end no block.
+INLINE_NEVER = frozenset(
+    "script style template noscript button select svg canvas object video audio map datalist "
+    "textarea iframe noembed".split()
+)
 CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
@@ -43,7 +48,7 @@ SCOPES = frozenset("table ul ol dl article main section body html td th div bloc
 #: Words that mark what is not the article.  A class name, id or role has to
 #: consist of them, but for words of place and form, or to end in one that says it alone.
 SIDE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo "
+    "ad ads adsbygoogle adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo "
     "promotion sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead comment "
     "comments commentlist disqus respond reply replies cookie cookies consent gdpr notice notices "
     "alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
@@ -52,12 +57,13 @@ SIDE_WORDS = frozenset(
 )
 HEAD_WORDS = frozenset(["header", "banner"])
 PLAIN_WORDS = frozenset(
-    "area aside bar bottom box button buttons container desktop fixed form global group icon icons "
+    "area aside bar block bottom box button buttons container desktop fixed form global google gpt "
+    "group icon icons "
     "inline inner item items js left link links list mobile outer panel posts primary right row "
     "secondary section site slot sticky title top unit wrap wrapper zone".split()
 )
 LAST_WORDS = frozenset(
-    "advert adverts advertisement advertising adsense adslot sidebar navbar navigation breadcrumb "
+    "ad ads adsbygoogle advert adverts advertisement advertising adsense adslot sidebar navbar navigation breadcrumb "
     "breadcrumbs comments commentlist disqus newsletter pagination pager".split()
 )
 #: Words that make a name one of the page's layout, and what readers may write at length.
@@ -115,6 +121,8 @@ class Page:
         self.blocks: list[tuple[int, str, int]] = []
         self._buffer: list[str] = []
         self._linked = 0
+        #: Open side elements within a line, each with the text of the block around it.
+        self._aside: list[tuple[int, list[str], int]] = []
         self._parse(source)
         self._settle()
 
@@ -164,7 +172,14 @@ class Page:
             nonlocal links
             while len(stack) > depth:
                 self._inside.pop()
-                links -= self.tag[stack.pop()] == "a"
+                node = stack.pop()
+                links -= self.tag[node] == "a"
+                if self._aside and self._aside[-1][0] == node:
+                    # The block around goes on where the side element began.
+                    self._flush(node)
+                    _, self._buffer, self._linked = self._aside.pop()
+                elif self._buffer and self.tag[node] not in INLINE:
+                    self._flush(node)
 
         while (m := _TOKEN.search(source, at)) is not None:
             text(source[at : m.start()])
@@ -174,7 +189,7 @@ class Page:
                 continue
             tag = name.lower()
             if m[1] or m[4]:
-                if tag not in INLINE:
+                if tag not in INLINE and tag not in INLINE_NEVER:
                     self._flush(holder)
                 depth = len(stack) - 1
                 while depth > 0 and self.tag[stack[depth]] != tag:
@@ -194,10 +209,13 @@ class Page:
                 elif tag == "hr":
                     self._flush(holder)
                 continue
-            if tag not in INLINE:
+            if tag not in INLINE and tag not in INLINE_NEVER:
                 self._flush(holder)
                 closes = CLOSED_BY.get(tag, ()) or {"p"}
                 for depth in range(len(stack) - 1, 0, -1):
+                    if self._aside and stack[depth] == self._aside[-1][0]:
+                        # What stands in a side element closes nothing around it.
+                        break
                     if self.tag[stack[depth]] in closes:
                         pop_to(depth)
                         if tag not in CLOSED_BY or tag in ("li", "dt", "dd"):
@@ -205,9 +223,14 @@ class Page:
                     elif self.tag[stack[depth]] in SCOPES and self.tag[stack[depth]] not in closes:
                         break
             node = self._open(stack[-1], tag, attributes)
-            if self.side[node] or self.soft_side[node]:
-                self._flush(holder)
-            if not attributes.endswith("/") or tag not in ("svg", "path", "use", "g"):
+            opens = not attributes.endswith("/") or tag not in ("svg", "path", "use", "g")
+            if opens and (self.side[node] or self.soft_side[node]):
+                if tag in INLINE or tag in INLINE_NEVER:
+                    self._aside.append((node, self._buffer, self._linked))
+                    self._buffer, self._linked = [], 0
+                else:
+                    self._flush(holder)
+            if opens:
                 stack.append(node)
                 links += tag == "a"
                 self._inside.append(self._inside[-1] or tag in ("article", "main"))
@@ -218,6 +241,8 @@ class Page:
             holder = self._holder(stack)
         text(source[at:])
         self._flush(holder)
+        pop_to(1)
+        self._flush(0)
 
     def _holder(self, stack: list[int]) -> int:
         """The element that text found now belongs to: the innermost that is no mere style."""

@@ -115,6 +115,15 @@ def test_packing_empty_arrays_and_names(spark):
     assert [(r.k, r.ids, r.loss_tokens) for r in got] == [(1, [5, 0, 7], 1)]
 
 
+@pytest.mark.parametrize("texts", [["a", "b c", "d e f"] * 4000, [None] * 9000])
+def test_sequences_of_short_texts_are_full(spark, texts):
+    given = documents(spark, texts)
+    limits = packing.Limits(1024, 1024, 1024)
+    got = packing.pack(given.coalesce(1), "doc_id", ["text"], encoder(), limits)
+    used = got.selectExpr("sum(length) AS n", "count(DISTINCT sequence_id) AS m").first()
+    assert used["n"] / 1024 > 0.99 * (used["m"] - 1)
+
+
 # --- 2 licences --------------------------------------------------------------------
 
 
@@ -246,6 +255,33 @@ def test_weak_labels_find_junk_without_labels(spark):
     assert sum((r.quality == 1) == r.kept for r in got) >= 0.93 * len(got)
 
 
+@pytest.mark.parametrize("n, junk", [(20_000, 0.4), (20_000, 0.6), (200_000, 0.05), (200_000, 0.6)])
+def test_labellers_of_known_accuracy_are_recovered(n, junk):
+    draw = np.random.default_rng(int(n * junk))
+    good = draw.random(n) > junk
+    hits, alarms = np.linspace(0.95, 0.3, weak_quality.LABELLERS), np.full(weak_quality.LABELLERS, 0.02)
+    cast = draw.random((n, weak_quality.LABELLERS)) < np.where(good[:, None], alarms, hits)
+    patterns = [weak_quality.pattern(tuple(v)) for v in np.where(cast, weak_quality.JUNK, 0).tolist()]
+    posterior, table = weak_quality.estimate(Counter(patterns))
+    assert np.abs(table[0, :, weak_quality.JUNK] - hits).max() < 0.03
+    assert np.abs(table[1, :, weak_quality.JUNK] - alarms).max() < 0.03
+    judged = np.array([posterior[p] >= 0.5 for p in patterns])
+    assert (judged == good).mean() > 0.99
+
+
+def test_good_documents_are_whole_rows(spark):
+    texts = [prose(k, 300) for k in range(30)] + ["$$$ ### " * 60, None, "", "%%% &&&& " * 80]
+    given = spark.createDataFrame(
+        [(k, x, "p", k) for k, x in enumerate(texts)], "doc_id long, text string, probability string, kept long"
+    )
+    got = weak_quality.WeakQuality(given).good()
+    assert got.schema == given.schema
+    kept = {r["doc_id"]: tuple(r) for r in got.collect()}
+    assert kept and all(kept[k] == (k, texts[k], "p", k) for k in kept)
+    scored = weak_quality.WeakQuality(given).scored().filter("kept").select("doc_id").collect()
+    assert {r[0] for r in scored} == set(kept) and not {31, 32} & set(kept)
+
+
 # --- 5 mixing ----------------------------------------------------------------------
 
 
@@ -546,6 +582,33 @@ def test_side_words_in_layout_names_keep_the_text(name):
         assert html_text.Page(page).text([]) == f"{lead}\n{body}"
 
 
+@pytest.mark.parametrize(
+    "inner",
+    [
+        '<span style="display:none">SECRET</span>', '<span class="ad">Buy now</span>',
+        '<span class="share">x</span>', '<b aria-hidden="true">x</b>', "<a hidden>x</a>",
+        '<span class="ad">Buy <i>now <span class="share">y</span></i></span>',
+        '<script>var x = "<p>text</p>";</script>', "<style>p {}</style>", "<noscript>Turn it on</noscript>",
+        '<button type="button">Go</button>', "<select><option>one</option></select>",
+        '<svg class="i"><path d="M0"/></svg>',
+    ],
+)
+def test_side_elements_within_a_line_leave_it_whole(inner):
+    page = html_text.Page(f"<html><body><article><p>Hello there {inner} world of text.</p><p>Next.</p></article>")
+    assert [b[1] for b in page.blocks] == ["Hello there world of text.", "Next."]
+
+
+@pytest.mark.parametrize("name", ['id="google_ads_1"', 'class="advertisement-block"', 'class="top-ads"'])
+def test_adverts_with_compound_names_go(name):
+    page = html_text.Page(f"<body><p>Hello there, this is text.</p><div {name}>Buy this</div><p>More of it.</p>")
+    assert [b[1] for b in page.blocks] == ["Hello there, this is text.", "More of it."]
+
+
+def test_an_unclosed_side_ends_with_its_block():
+    page = html_text.Page('<body><p>Hello <span class="ad">Buy <i>now</i></p><p>Next one</p>')
+    assert [b[1] for b in page.blocks] == ["Hello", "Next one"]
+
+
 def test_side_names_still_name_sides():
     for name in ("ad", "ad-slot-3", "cookie-notice", "article-comments", "leftSidebar", "site-header", "hidden"):
         page = f"<body><div class=x><p>{prose(4, 60)}</p><div class='{name}'>Not of it</div></div></body>"

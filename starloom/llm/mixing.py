@@ -286,9 +286,20 @@ class Mix:
         )
 
     def taken(self) -> DataFrame:
-        """One row per document with the words the mix takes of it."""
-        used = self.taken_pieces().groupBy("_row").agg(F.sum("words").alias("taken"))
+        """One row per document with the words the mix takes of it, also by output shard.
+
+        ``shard_words`` maps each shard that holds any of them to their number; over all
+        documents a shard's share follows the multinomial draw of the slots.
+        """
+        # Dealt by row once: both aggregates below then need no further shuffle.
+        pieces = self.taken_pieces().select("_row", "shard", "words").repartition("_row")
+        by_shard = pieces.groupBy("_row", "shard").agg(F.sum("words").alias("words"))
+        used = by_shard.groupBy("_row").agg(
+            F.sum("words").alias("taken"),
+            F.map_from_entries(F.sort_array(F.collect_list(F.struct("shard", "words")))).alias("_shards"),
+        )
         totals = self.totals.withColumnRenamed("source", "_source")
+        none = F.create_map().cast("map<bigint,bigint>")
         return (
             self.sizes.join(used, "_row", "left")
             .join(totals, F.col("source").eqNullSafe(F.col("_source")))
@@ -298,6 +309,7 @@ class Mix:
                 "source_size",
                 "target",
                 F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"),
+                F.coalesce("_shards", none).alias("shard_words"),
             )
         )
 
@@ -323,18 +335,29 @@ class Mix:
             pieces.withColumn("_starts", starts)
             .withColumn("_run", F.sum("_starts").over(along))
             .groupBy("_row", "pass", "_run")
-            .agg(F.min("first_word").alias("first_word"), F.sum("words").alias("words"))
+            .agg(F.min("first_word").alias("first"), F.sum("words").alias("words"))
+            .groupBy("_row")
+            .agg(F.sort_array(F.collect_list(F.struct("pass", "first", "words"))).alias("_runs"))
         )
         kept = {c: F.col(f"_keep{i}") for i, c in enumerate(self.keep)}
-        text = kept[self.text]
-        whole = F.col("words") == F.col("size")
-        words = F.regexp_extract_all(
-            text, F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1)
-        )
-        cut = F.concat_ws(
-            "", F.slice(words, (F.col("first_word") + 1).cast("int"), F.col("words").cast("int"))
-        )
-        columns = {**kept, self.text: F.when(whole, text).otherwise(cut)}
-        return runs.join(self.rows, "_row").select(
-            *[column.alias(c) for c, column in columns.items()]
+        text, size = kept[self.text], F.col("size")
+        # A text is joined and split into words once, however many runs are cut from it: the
+        # generator keeps the words from being found again for each run.
+        split = F.when(
+            F.exists("_runs", lambda r: r["words"] < size),
+            F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1)),
+        ).otherwise(F.array().cast("array<string>"))
+        whole = runs.join(self.rows, "_row").select(
+            *[f"_keep{i}" for i in range(len(self.keep))], "size", "_runs",
+            F.explode(F.array(split)).alias("_words"),
+        )
+        first, length = (lambda r: (r["first"] + 1).cast("int")), (lambda r: r["words"].cast("int"))
+        cuts = F.transform(
+            "_runs",
+            lambda r: F.when(r["words"] == size, text).otherwise(
+                F.concat_ws("", F.slice("_words", first(r), length(r)))
+            ),
         )
+        cut = whole.select(*[f"_keep{i}" for i in range(len(self.keep))], F.explode(cuts).alias("_cut"))
+        columns = {**kept, self.text: F.col("_cut")}
+        return cut.select(*[column.alias(c) for c, column in columns.items()])

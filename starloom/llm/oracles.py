@@ -140,8 +140,63 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM documents LEFT JOIN listed USING (doc_id)
 """
 
+# Forty hexadecimal digits as 32 of base 32, five by five.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    f"CAST((CAST('0x' || substr(digest, {5 * k + 1}, 5) AS BIGINT) >> {shift}) & 31 AS INTEGER) + 1, 1)"
+    for k in range(8)
+    for shift in (15, 10, 5, 0)
+)
+OP6 = f"""
+WITH payloads AS (
+    SELECT page_id, url, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages
+),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first FROM payloads)
+SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to, url
+FROM firsts
+"""
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+QUALITY_BASE = rf"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words FROM documents),
+windows AS (
+    SELECT doc_id, k, words[k : k + 2] AS own
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 1))) AS k FROM texts)
+),
+repeated AS (
+    SELECT doc_id, count(DISTINCT at) AS n FROM (
+        SELECT doc_id, unnest([k, k + 1, k + 2]) AS at FROM (
+            SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, own) AS times FROM windows
+        ) WHERE times > 1
+    ) GROUP BY doc_id
+),
+lines AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts
+    ) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+),
+counted AS (
+    SELECT doc_id, len(words)::BIGINT AS n_words,
+        length(array_to_string(words, ''))::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+    FROM texts LEFT JOIN lines l USING (doc_id) LEFT JOIN repeated r USING (doc_id)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+"""
+
+MIX_SIZES = rf"""
+SELECT doc_id, len({_WORDS})::BIGINT AS size,
+    sum(len({_WORDS})) OVER (PARTITION BY source)::BIGINT AS source_size FROM documents
+"""
+
 ORACLES: dict[str, str] = {
+    "op6_warc": OP6,
     "op11_importance": OP11,
     "op12_fill_middle": OP12,
     "secret_base_spans": SECRET_BASE,
+    "quality_base_counts": QUALITY_BASE,
+    "mix_sizes": MIX_SIZES,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +12,7 @@ from starloom.llm import (
     html_text,
     importance,
     licenses,
+    linear,
     mixing,
     near_dup,
     packing,
@@ -95,6 +97,18 @@ def secret_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op10_quality_rules`` that base rules alone decide."""
+    model = linear.fit([], np.zeros(0), np.zeros(0), 1 << linear.BITS, np.zeros(0, bool))
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), model)
+    return judged.drop("probability", "kept")
+
+
+def mix_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op5_mix`` that need neither targets nor a draw."""
+    return op5_mix(spark, sf_dir).select("doc_id", "size", "source_size")
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_licenses": op2_licenses,
@@ -110,4 +124,6 @@ QUERIES = {
     "op12_fill_middle": op12_fill_middle,
     "op13_secrets": op13_secrets,
     "secret_base_spans": secret_base_spans,
+    "quality_base_counts": quality_base_counts,
+    "mix_sizes": mix_sizes,
 }

@@ -323,6 +323,36 @@ def test_mixing_targets_and_takes(spark):
     assert mixing.Mix(documents(spark, [])).taken().count() == 0
 
 
+def test_shards_hold_the_taken_words_as_drawn(spark):
+    texts = [prose(k, 400) for k in range(60)] + [None, "", "one"]
+    given = documents(spark, texts, sources=[f"s{k % 3}" for k in range(len(texts))])
+    mix = mixing.Mix(given, block=8, shard_slots=256)
+    rows = mix.taken().collect()
+    assert all(sum(r.shard_words.values()) == r.taken for r in rows)
+    by_shard = Counter()
+    for r in rows:
+        by_shard.update(r.shard_words)
+    slots = Counter(r.shard for r in mix.slots().collect())
+    n, shards = sum(slots.values()), max(slots) + 1
+    assert set(by_shard) == set(slots) and shards == -(-n // 256) > 8
+    # Each slot is drawn alone: counts vary as those of a multinomial do, no more, no less.
+    chi = sum((slots[k] - n / shards) ** 2 / (n / shards) for k in range(shards))
+    assert 0.2 * (shards - 1) < chi < 3 * (shards - 1)
+
+
+def test_a_text_is_split_once_for_all_its_runs(spark):
+    given = documents(spark, [" ".join(f"w{k}" for k in range(3000)), prose(1, 500)], sources=["a", "b"])
+    mix = mixing.Mix(given, block=4, keep=tuple(given.columns))
+    got = mix.mixed()
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("regexp_extract_all") == 1 and "lambda" in text
+    taken = {r.doc_id: r.taken for r in mix.taken().collect()}
+    words = Counter()
+    for r in got.collect():
+        words[r.doc_id] += len(WORD.findall(r.text))
+    assert dict(words) == {k: n for k, n in taken.items() if n}
+
+
 def test_permutation_is_a_bijection(spark):
     for n in (1, 2, 7, 100):
         df = spark.range(n).select(

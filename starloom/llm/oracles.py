@@ -166,8 +166,8 @@ windows AS (
     FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 1))) AS k FROM texts)
 ),
 repeated AS (
-    SELECT doc_id, count(DISTINCT at) AS n FROM (
-        SELECT doc_id, unnest([k, k + 1, k + 2]) AS at FROM (
+    SELECT doc_id, count(DISTINCT place) AS n FROM (
+        SELECT doc_id, unnest([k, k + 1, k + 2]) AS place FROM (
             SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, own) AS times FROM windows
         ) WHERE times > 1
     ) GROUP BY doc_id

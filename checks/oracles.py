@@ -364,6 +364,23 @@ def _audit() -> str:
 
 _HEAT = ("avg_delivery_days", "avg_delay_days", "avg_review_score", "late_pct")
 
+def _orphans() -> str:
+    references = (
+        ("fact_orders", "fact", "product_id", "dim_products", "SELECT p_partkey FROM part"),
+        ("fact_orders", "fact", "seller_id", "dim_sellers", "SELECT s_suppkey FROM supplier"),
+        ("fact_orders", "fact", "customer_id", "dim_customers", "SELECT c_custkey FROM customer"),
+        ("dim_payments", "payments", "order_id", "fact_orders", "SELECT l_orderkey FROM lineitem"),
+        ("dim_reviews", "reviews", "order_id", "fact_orders", "SELECT l_orderkey FROM lineitem"),
+    )
+    selects = [
+        f"SELECT '{name}.{key}' AS reference, '{other}' AS refers_to, "
+        f"count(DISTINCT {key}) AS orphan_keys, count(*) AS orphan_rows FROM {source} "
+        f"WHERE {key} IS NOT NULL AND {key} NOT IN ({known})"
+        for name, source, key, other, known in references
+    ]
+    return _with("\nUNION ALL ".join(selects), "fact", "payments", "reviews")
+
+
 ORACLES: dict[str, str] = {
     "src_csv_header": _with(
         """
@@ -419,6 +436,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'dim_reviews', count(*) FROM events""",
         "orders_clean",
     ),
+    "orphan_keys": _orphans(),
     "orders_clean": _with(
         """
         SELECT order_id, customer_id, status AS order_status,

@@ -315,6 +315,9 @@ QUERIES: dict[str, Query] = {
             for name, raw in quality.ROW_SOURCES.items()
         }
     ),
+    "orphan_keys": lambda spark, sf_dir: quality.orphans(
+        {name: table(spark, sf_dir, name) for name in TABLES}
+    ),
     "orders_without_items": lambda spark, sf_dir: quality.orders_without_items(
         source(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "order_id"),
         RawTables(spark, sf_dir)["order_items"],

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.dedup import require_unique
 from starloom.plans import business, panels, quality
 from starloom.plans.star import Star
 from starloom.sources.raw import COLUMN_TYPES, Loaded, RawFiles
@@ -38,10 +39,14 @@ def build_warehouse(
 ) -> quality.WatchedWrites:
     """Write all tables of the star schema; ``options`` are those of ``Star``.
 
-    Readers see all the new tables at the end, or, if anything fails, the old ones.  Raw
-    rows that entered no table are written too, as the table ``quarantine``.  Returns the
-    counts taken on the way, for an audit that reads nothing again.
+    Readers see all the new tables at the end, or, if anything fails, the old ones: also if
+    a category is translated twice, or a product or seller is there twice, as joins with
+    them would multiply rows.  Raw rows that entered no table are written too, as the table
+    ``quarantine``.  Returns the counts taken on the way, for an audit that reads nothing
+    again.
     """
+    if raw.get("category_translation") is not None:
+        require_unique(raw["category_translation"], ["product_category_name"], "category_translation")
     star, watched = Star(raw, **options), quality.WatchedWrites(warehouse.spark)
     quarantine = getattr(raw, "quarantine", None)
     with warehouse.replacing():
@@ -50,6 +55,8 @@ def build_warehouse(
         for table in TABLES:
             if table != "fact_orders":
                 warehouse.write(table, getattr(star, table), watched.watch(table))
+        for table, key in quality.UNIQUE_KEYS.items():
+            require_unique(warehouse.read(table), [key], table)
         # The fact takes products, payments and reviews from the tables just written.
         star.dim_products = warehouse.read("dim_products")
         star.dim_payments = warehouse.read("dim_payments")
@@ -160,6 +167,17 @@ def notes(raw: Mapping[str, DataFrame]) -> list[str]:
     return found
 
 
+def orphan_notes(warehouse: Warehouse) -> list[str]:
+    """References of the warehouse's tables to keys that are not there."""
+    tables = {name: warehouse.read(name) for name in TABLES}
+    # A row per reference.
+    return [
+        f"{r['reference']}: {r['orphan_keys']} keys of {r['orphan_rows']} rows are not in {r['refers_to']}"
+        for r in quality.orphans(tables).collect()
+        if r["orphan_keys"]
+    ]
+
+
 def main(
     raw_root: str,
     warehouse_root: str,
@@ -179,7 +197,7 @@ def main(
     # A row for each table, counted while it was written.
     reports = watched.audit(), watched.row_counts(raw.rows)
     checked = [row for report in reports for row in report.collect()]
-    for line in [*map(str, checked), *notes(raw)]:
+    for line in [*map(str, checked), *notes(raw), *orphan_notes(warehouse)]:
         print(line)
     failed = quality.failed_tables(checked)
     if failed and strict:

@@ -107,10 +107,11 @@ def with_revenue(items: DataFrame) -> DataFrame:
 def repair_prices_from_category(items: DataFrame, products: DataFrame) -> DataFrame:
     """Give items without a valid price the median price of their category."""
     category = "product_category_name_en"
-    labelled = items.join(products.select("product_id", category), "product_id", "left")
-    # The medians take several passes; they should not repeat the join.
-    prices = stage(labelled.select(category, "price"), "category_prices")
-    median = group_median(prices, "price", category)
+    # The medians take several passes and the fill one more; none should repeat the join.
+    labelled = stage(
+        items.join(products.select("product_id", category), "product_id", "left"), "labelled_items"
+    )
+    median = group_median(labelled, "price", category)
     filled = fill_from_group(labelled, median, "price", category)
     return with_total_cost(filled.drop(category))
 

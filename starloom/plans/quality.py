@@ -35,6 +35,20 @@ KEY_COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
+# What must be unique in a table, and the keys that refer to other tables.
+UNIQUE_KEYS: dict[str, str] = {
+    "dim_products": "product_id",
+    "dim_sellers": "seller_id",
+}
+REFERENCES: tuple[tuple[str, str, str], ...] = (
+    ("fact_orders", "product_id", "dim_products"),
+    ("fact_orders", "seller_id", "dim_sellers"),
+    ("fact_orders", "customer_id", "dim_customers"),
+    ("dim_payments", "order_id", "fact_orders"),
+    ("dim_reviews", "order_id", "fact_orders"),
+)
+
+
 class QualityError(ValueError):
     """A table does not hold what it must."""
 
@@ -184,6 +198,29 @@ def quarantined_rows(quarantine: DataFrame) -> DataFrame:
     )
 
 
+def orphans(
+    tables: Mapping[str, DataFrame],
+    references: Sequence[tuple[str, str, str]] = REFERENCES,
+) -> DataFrame:
+    """One row per reference: keys that the other table lacks, and the rows that have them.
+
+    Both sides are reduced to a row per key before they meet, so a key with a third of the
+    rows costs one row per task.  NULL keys refer to nothing.
+    """
+
+    def lacking(name: str, key: str, other: str) -> DataFrame:
+        used = tables[name].where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+        known = tables[other].select(key).distinct()
+        return used.join(known, key, "left_anti").agg(
+            F.lit(f"{name}.{key}").alias("reference"),
+            F.lit(other).alias("refers_to"),
+            F.count("*").alias("orphan_keys"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
+        )
+
+    return reduce(DataFrame.unionByName, [lacking(*reference) for reference in references])
+
+
 def failed_tables(rows: Sequence[Row]) -> list[str]:
     """The tables of collected report rows that did not pass."""
     return [r["table_name"] for r in rows if r["status"] != "PASS"]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks.standin import RawTables
 from starloom import build
 from starloom.build import build_warehouse, check_warehouse, update_months
+from starloom.plans import quality
 from starloom.plans.star import Star
 from starloom.sources.raw import Loaded
 from starloom.sources.warehouse import TABLES, Warehouse
@@ -149,3 +150,30 @@ def test_pointer_is_one_small_file(spark, tmp_path):
         with warehouse.replacing():
             pass
     assert rows(warehouse.read("dim_date")) == [(0,)]
+
+
+@pytest.mark.parametrize(
+    "table, key", [("sellers", "seller_id"), ("products", "product_id"), ("category_translation", None)]
+)
+def test_repeated_keys_of_lookups_raise_and_leave_the_old_tables(spark, tmp_path, table, key):
+    raw = dict(RawTables(spark, DATA).items())
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    warehouse.write("dim_sellers", spark.range(2))
+    raw[table] = raw[table].union(raw[table].limit(1))
+    with pytest.raises(ValueError, match="unique"):
+        build_warehouse(raw, warehouse)
+    assert warehouse.published()["tables"] == {"dim_sellers": 1}
+
+
+def test_orphans_are_counted_and_named(spark, tmp_path):
+    used = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (3, None)], "k int, s string")
+    tables = {"t": used, "known": spark.createDataFrame([(1,), (1,), (None,)], "k int")}
+    got = rows(quality.orphans(tables, [("t", "k", "known")]))
+    assert got == [("t.k", "known", 2, 2)]
+    empty = {"t": used.limit(0), "known": tables["known"]}
+    assert rows(quality.orphans(empty, [("t", "k", "known")])) == [("t.k", "known", 0, 0)]
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    raw = dict(RawTables(spark, DATA).items())
+    raw["sellers"] = raw["sellers"].where("seller_id <> 1")
+    build_warehouse(raw, warehouse)
+    assert any(line.startswith("fact_orders.seller_id: 1 keys") for line in build.orphan_notes(warehouse))

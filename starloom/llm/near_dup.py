@@ -28,6 +28,8 @@ STARS = 2
 BLOCK_NODES = 256
 SMALL_KEY = 16
 KEYS_MOST = 128
+#: Bits of the filter for wanted texts, 64 to a row: 2 ** 18 rows are broadcast at most.
+FILTER_BITS = 24
 _LONGEST_RUN = 1 << 15
 
 
@@ -214,6 +216,19 @@ class NearDuplicates:
         given = self.documents.select(
             F.col(f"`{self.key}`").alias("doc"), whole.alias("text"), k1.alias("k1"), k2.alias("k2")
         )
+        # Most texts are wanted by nobody.  Bits of the wanted texts' hashes, in a table of
+        # constant size, hold those back before anything is shuffled; the join is exact.
+        bit = F.col("w1").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+        bits = (
+            wanted.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+            .agg(F.expr("bit_or(shiftleft(1L, CAST(bit & 63 AS int)))").alias("bits"))
+        )
+        word = F.shiftright(F.col("k1").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), 6)
+        given = (
+            given.join(F.broadcast(bits), word == F.col("word"))
+            .filter("shiftright(bits, CAST(k1 & 63 AS int)) & 1 = 1")
+            .select("doc", "text", "k1", "k2")
+        )
         same = (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")) & F.col("doc").eqNullSafe(F.col("d"))
         # Rows that repeat both key and text give the same node twice; pairs are made
         # distinct after they are confirmed.

@@ -208,7 +208,12 @@ def labelled_samples(documents: DataFrame, key: str = "doc_id", text: str = "tex
             .withColumn("random", F.lit(label))
         )
 
-    picked = documents.orderBy(F.xxhash64(f"`{key}`", whole), f"`{key}`").limit(SAMPLE_DOCUMENTS)
+    # Only hashes are ordered; the texts themselves never travel.  Repeated rows have one hash
+    # and add no strings.
+    order = F.xxhash64(F.col(f"`{key}`"), whole)
+    least = documents.select(order.alias("order")).orderBy("order").limit(SAMPLE_DOCUMENTS)
+    bound = least.agg(F.max("order")).first()[0]
+    picked = documents.filter(order <= F.lit(bound).cast("bigint"))
     drawn = documents.select(whole).mapInArrow(values, "value string")
     return smallest(drawn, 1).union(smallest(picked.select(whole).mapInArrow(others, "value string"), 0))
 

@@ -7,6 +7,9 @@ years asked for, or the rows of a top-k), never over the fact.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,18 +26,36 @@ def year_month(year: str, month: str) -> Column:
     )
 
 
+def with_order_counts(df: DataFrame, keys: Sequence[str], *totals: Column) -> DataFrame:
+    """Totals per group, and ``total_orders``, the number of its distinct orders.
+
+    In one aggregate every pair of group and order would carry the buffers of all totals
+    through the shuffle.  So the totals are taken apart from the orders, a row per group and
+    task, and the pairs travel bare.  ``df`` is read twice.
+    """
+    other = [F.col(k).alias(f"_{k}") for k in keys]
+    # A missing order makes a pair, which keeps its group, but does not count.
+    orders = (
+        df.select(*other, "order_id")
+        .distinct()
+        .groupBy(*[f"_{k}" for k in keys])
+        .agg(F.count("order_id").alias("total_orders"))
+    )
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    grouped = df.groupBy(*keys).agg(*totals)
+    return grouped.join(orders, same).drop(*[f"_{k}" for k in keys])
+
+
 def _months(fact: DataFrame, first_year: int, last_year: int) -> DataFrame:
-    return (
-        fact.where(
-            (F.col("order_status") != CANCELED)
-            & F.col("order_year").between(first_year, last_year)
-        )
-        .groupBy("order_year", "order_month")
-        .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            exact_sum(F.col("item_revenue")).alias("revenue"),
-            rounded(exact_mean(F.col("avg_review_score")), 2).alias("avg_rating"),
-        )
+    sold = fact.where(
+        (F.col("order_status") != CANCELED)
+        & F.col("order_year").between(first_year, last_year)
+    )
+    return with_order_counts(
+        sold,
+        ["order_year", "order_month"],
+        exact_sum(F.col("item_revenue")).alias("revenue"),
+        rounded(exact_mean(F.col("avg_review_score")), 2).alias("avg_rating"),
     )
 
 
@@ -105,7 +126,7 @@ def category_revenue(fact: DataFrame, products: DataFrame, top: int = 20) -> Dat
     Ranks within the first rows of a descending sort are the ranks overall, so the
     top-k is taken first and the window sees ``top`` rows only.
     """
-    by_category = (
+    sold = (
         fact.where(F.col("order_status") != CANCELED)
         .join(
             products.select(
@@ -114,14 +135,14 @@ def category_revenue(fact: DataFrame, products: DataFrame, top: int = 20) -> Dat
             "product_id",
         )
         .where(F.col("category").isNotNull())
-        .groupBy("category")
-        .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count("order_item_id").alias("total_items_sold"),
-            exact_sum(F.col("item_revenue")).alias("revenue"),
-            rounded(exact_mean(F.col("price")), 2).alias("avg_price"),
-            rounded(exact_mean(F.col("avg_review_score")), 2).alias("avg_rating"),
-        )
+    )
+    by_category = with_order_counts(
+        sold,
+        ["category"],
+        F.count("order_item_id").alias("total_items_sold"),
+        exact_sum(F.col("item_revenue")).alias("revenue"),
+        rounded(exact_mean(F.col("price")), 2).alias("avg_price"),
+        rounded(exact_mean(F.col("avg_review_score")), 2).alias("avg_rating"),
     )
     best = [F.desc_nulls_last("revenue"), F.asc("category")]
     return (
@@ -149,23 +170,24 @@ def seller_performance(
     Sellers below ``min_orders`` orders do not count, for the rank either.  The rank
     is one more than the number of sellers of the state that come first, counted
     against the ``top`` sellers only: no state's sellers are gathered and sorted.
-    Items are aggregated before the join, first by seller and order, so a seller with a
-    third of them is spread over all tasks.  Sellers must be unique in ``seller_id``.
+    Items are aggregated before the join, and their orders by seller and order, so a seller
+    with a third of them is spread over all tasks.  Sellers must be unique in ``seller_id``.
     """
+    measures = ["total_orders", "total_revenue", "avg_rating", "avg_delivery_days"]
     totals = (
-        fact.where(F.col("order_status") == DELIVERED)
-        .groupBy("seller_id")
-        .agg(
-            F.count_distinct("order_id").alias("total_orders"),
+        with_order_counts(
+            fact.where(F.col("order_status") == DELIVERED),
+            ["seller_id"],
             rounded(exact_sum(F.col("item_revenue")), 2).alias("total_revenue"),
             rounded(exact_mean(F.col("avg_review_score")), 2).alias("avg_rating"),
             rounded(F.avg("delivery_duration_days"), 1).alias("avg_delivery_days"),
         )
         .where(F.col("total_orders") >= min_orders)
+        .select("seller_id", *measures)
     )
     ranked = totals.join(
         sellers.select("seller_id", "seller_state", "seller_city"), "seller_id", "left"
-    ).select("seller_id", "seller_state", "seller_city", *totals.columns[1:])
+    ).select("seller_id", "seller_state", "seller_city", *measures)
     by_revenue = [F.desc_nulls_last("total_revenue"), "seller_id", "seller_state", "seller_city"]
     best = (
         ranked.orderBy(*by_revenue)
@@ -203,21 +225,24 @@ def delivery_by_state(fact: DataFrame, sellers: DataFrame) -> DataFrame:
     ``late_pct`` divides late items by distinct orders, so it can exceed 100; see
     ``late_orders_by_state`` for the share of late orders.
     """
-    late = F.col("delivery_delay_days") > 0
-    orders = F.count_distinct("order_id")
-    return (
-        _delivered_with_state(fact, sellers)
-        .groupBy("seller_state")
-        .agg(
-            orders.alias("total_orders"),
-            rounded(F.avg("delivery_duration_days"), 1).alias("avg_delivery_days"),
-            rounded(F.avg("delivery_delay_days"), 1).alias("avg_delay_days"),
-            rounded(exact_mean(F.col("avg_review_score")), 2).alias("avg_review_score"),
-            F.count_if(late).alias("late_deliveries"),
-            rounded(F.count_if(late) / orders * 100, 1).alias("late_pct"),
-        )
-        .orderBy(F.desc_nulls_last("avg_delay_days"), "seller_state")
+    states = with_order_counts(
+        _delivered_with_state(fact, sellers),
+        ["seller_state"],
+        rounded(F.avg("delivery_duration_days"), 1).alias("avg_delivery_days"),
+        rounded(F.avg("delivery_delay_days"), 1).alias("avg_delay_days"),
+        rounded(exact_mean(F.col("avg_review_score")), 2).alias("avg_review_score"),
+        F.count_if(F.col("delivery_delay_days") > 0).alias("late_deliveries"),
     )
+    late_pct = F.col("late_deliveries") / F.col("total_orders") * 100
+    return states.select(
+        "seller_state",
+        "total_orders",
+        "avg_delivery_days",
+        "avg_delay_days",
+        "avg_review_score",
+        "late_deliveries",
+        rounded(late_pct, 1).alias("late_pct"),
+    ).orderBy(F.desc_nulls_last("avg_delay_days"), "seller_state")
 
 
 def late_orders_by_state(fact: DataFrame, sellers: DataFrame) -> DataFrame:
@@ -241,17 +266,21 @@ def payment_analysis(payments: DataFrame) -> DataFrame:
     ``avg_order_value`` and ``avg_payment`` are both the mean payment row.
     """
     value = F.col("payment_value")
-    return (
-        payments.where(F.col("payment_type") != UNDEFINED_PAYMENT)
-        .groupBy("payment_type", "payment_installments")
-        .agg(
-            F.count_distinct("order_id").alias("order_count"),
-            rounded(exact_mean(value), 2).alias("avg_order_value"),
-            rounded(exact_sum(value), 2).alias("total_value"),
-            rounded(exact_mean(value), 2).alias("avg_payment"),
-        )
-        .orderBy("payment_type", "payment_installments")
+    mix = with_order_counts(
+        payments.where(F.col("payment_type") != UNDEFINED_PAYMENT),
+        ["payment_type", "payment_installments"],
+        rounded(exact_mean(value), 2).alias("avg_order_value"),
+        rounded(exact_sum(value), 2).alias("total_value"),
+        rounded(exact_mean(value), 2).alias("avg_payment"),
     )
+    return mix.select(
+        "payment_type",
+        "payment_installments",
+        F.col("total_orders").alias("order_count"),
+        "avg_order_value",
+        "total_value",
+        "avg_payment",
+    ).orderBy("payment_type", "payment_installments")
 
 
 def revenue_by_month_and_payment(fact: DataFrame, year: int = 2017) -> DataFrame:

@@ -1,8 +1,10 @@
 """The business queries and panels on small tables with known answers."""
 
 import datetime as dt
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.plans import business, panels, quality, star
 from tests.conftest import plan, rows, unordered
@@ -205,3 +207,34 @@ def test_queries_never_window_over_the_fact(spark, sellers, no_broadcast):
     # Nothing reaches a single task before it was aggregated.
     assert "Exchange SinglePartition" not in text.split("HashAggregate")[-1]
     assert "CartesianProduct" not in text
+
+
+def test_order_counts_keep_groups_without_a_name_or_an_order(spark, sellers):
+    lines = [
+        dict(order_id=1, seller_id=99, price=1.0),
+        dict(order_id=1, seller_id=99, price=2.0),
+        dict(order_id=None, seller_id=99, price=4.0),
+        dict(order_id=2, seller_id=1, product_id=2, price=8.0),
+        dict(order_id=None, seller_id=2, product_id=3, price=16.0),
+    ]
+    counted = business.with_order_counts(fact(spark, lines), ["product_id"], F.sum("price").alias("p"))
+    assert unordered(counted) == [(1, 7.0, 1), (2, 8.0, 1), (3, 16.0, 0)]
+    states = business.delivery_by_state(fact(spark, lines[:4]), sellers)
+    assert states.where("seller_state IS NULL").first()["total_orders"] == 1
+
+
+def test_pairs_of_group_and_order_carry_no_totals(spark, sellers, no_broadcast):
+    table = fact(spark, [{}])
+    products = spark.createDataFrame([(1, "a")], "product_id int, product_category_name_en string")
+    payments = table.selectExpr(
+        "order_id", "primary_payment_type payment_type", "1 payment_installments", "price payment_value"
+    )
+    for query in (
+        business.monthly_revenue(table),
+        business.category_revenue(table, products),
+        business.seller_performance(table, sellers),
+        business.delivery_by_state(table, sellers),
+        business.payment_analysis(payments),
+    ):
+        pairs = [x for x in plan(query).splitlines() if re.search(r"Aggregate\(keys?=\[[^]]*order_id", x)]
+        assert pairs and all("functions=[]" in x for x in pairs)

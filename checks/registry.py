@@ -46,11 +46,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A warehouse table, written on first use."""
     warehouse = _warehouse(spark, sf_dir)
     if (warehouse.root, name) not in _written:
-        star = Star(RawTables(spark, sf_dir))
+        star = Star(RawTables(spark, sf_dir), balanced=True)
         if name == "fact_orders":
             star.dim_payments = table(spark, sf_dir, "dim_payments")
             star.dim_reviews = table(spark, sf_dir, "dim_reviews")
-        warehouse.write(name, getattr(star, name))
+        warehouse.write(name, getattr(star, name), balanced=star.balanced)
         _written.add((warehouse.root, name))
     return warehouse.read(name)
 

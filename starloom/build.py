@@ -47,7 +47,7 @@ def build_warehouse(
     """
     if raw.get("category_translation") is not None:
         require_unique(raw["category_translation"], ["product_category_name"], "category_translation")
-    star, watched = Star(raw, **options), quality.WatchedWrites(warehouse.spark)
+    star, watched = Star(raw, balanced=True, **options), quality.WatchedWrites(warehouse.spark)
     quarantine = getattr(raw, "quarantine", None)
     with warehouse.replacing():
         if quarantine is not None:
@@ -61,7 +61,7 @@ def build_warehouse(
         star.dim_products = warehouse.read("dim_products")
         star.dim_payments = warehouse.read("dim_payments")
         star.dim_reviews = warehouse.read("dim_reviews")
-        warehouse.write("fact_orders", star.fact_orders, watched.watch("fact_orders"))
+        warehouse.write("fact_orders", star.fact_orders, watched.watch("fact_orders"), balanced=True)
     return watched
 
 

@@ -48,16 +48,18 @@ def write_table(
     path: str,
     partition_by: Sequence[str] = (),
     watch: tuple[Observation, Sequence[Column]] | None = None,
+    balanced: bool = False,
 ) -> None:
     """Write a table, replacing what was there.
 
     With partition columns the rows are first rebalanced on them: a task then writes
     to few directories, and adaptive execution splits a month that holds far more
-    rows than the others, so files come out at the advisory size either way.  ``watch``
-    takes aggregates of the rows as they are written; it stands behind the rebalancing, in
-    the last stage, where each task counts once even if others are run again.
+    rows than the others, so files come out at the advisory size either way.  Rows that
+    come ``balanced`` are taken as they are.  ``watch`` takes aggregates of the rows as they
+    are written; it stands behind the rebalancing, in the last stage, where each task counts
+    once even if others are run again.
     """
-    if partition_by:
+    if partition_by and not balanced:
         df = df.hint("rebalance", *partition_by)
     if watch:
         df = df.observe(watch[0], *watch[1])
@@ -135,10 +137,14 @@ class Warehouse:
         return self._pending if self._pending is not None else self.published()
 
     def write(
-        self, table: str, df: DataFrame, watch: tuple[Observation, Sequence[Column]] | None = None
+        self,
+        table: str,
+        df: DataFrame,
+        watch: tuple[Observation, Sequence[Column]] | None = None,
+        balanced: bool = False,
     ) -> None:
-        """Replace a table."""
-        self._write(table, df, watch, keep_months=False)
+        """Replace a table; a fact that is ``balanced`` on its months is not shuffled again."""
+        self._write(table, df, watch, keep_months=False, balanced=balanced)
 
     def write_months(self, df: DataFrame) -> None:
         """Replace the months of the fact that ``df`` holds; all others keep their files.
@@ -149,17 +155,17 @@ class Warehouse:
             raise ValueError("the months have other columns than the fact")
         self._write(FACT, df, None, keep_months=True)
 
-    def _write(self, table: str, df: DataFrame, watch, keep_months: bool) -> None:
+    def _write(self, table: str, df: DataFrame, watch, keep_months: bool, balanced: bool = False) -> None:
         if self._pending is None:
             with self.replacing():
-                self._write(table, df, watch, keep_months)
+                self._write(table, df, watch, keep_months, balanced)
             return
         state = self._pending
         folder = self._folder(table, state["number"])
         if table != FACT:
             write_table(df, folder, watch=watch)
         else:
-            write_table(df, folder, FACT_PARTITIONS, watch)
+            write_table(df, folder, FACT_PARTITIONS, watch, balanced)
             months = state["months"] if keep_months else {}
             # One name for each month; the list of files is the driver's in any case.
             found = {_month_of(f) for f in self.spark.read.parquet(folder).inputFiles()}

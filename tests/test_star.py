@@ -89,6 +89,18 @@ def test_fact_shuffles_each_input_once(star, no_broadcast):
     assert text.count("Exchange") == 4
 
 
+def test_what_follows_from_other_columns_is_not_shuffled(spark, star, stored_fact, tmp_path):
+    balanced = Star(RawTables(spark, DATA), balanced=True)
+    above, _, below = plan(balanced.fact_orders).partition("REBALANCE_PARTITIONS_BY_COL")
+    for name in ("item_revenue", "item_total_cost"):
+        assert name in above and name not in below
+    assert len(star.fact_rows.columns) == 13
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    warehouse.write("fact_orders", balanced.fact_orders, balanced=True)
+    written = warehouse.read("fact_orders").select(*stored_fact.columns)
+    assert unordered(written) == unordered(stored_fact)
+
+
 def test_dimension_keys_are_unique(star):
     for name, key in (("dim_customers", "customer_id"), ("dim_products", "product_id"),
                       ("dim_sellers", "seller_id"), ("dim_date", "date_key")):
